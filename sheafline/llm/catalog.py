@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafline.llm import frequency
+from sheafline.llm import canonical, frequency
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,8 @@ SELECT * FROM (
   SELECT 'raw_title', title, CASE WHEN n > 0.01 * (SELECT sum(n) FROM r) THEN 'common' WHEN n <= 1 THEN 'rare' END FROM r
 ) WHERE mark IS NOT NULL
 """
+
+QUERIES["p7_found"] = lambda spark, d: canonical.found(
+    table(spark, d, "sections"), table(spark, d, "section_columns_map"), table(spark, d, "canonical_titles")
+)
+SQL["p7_found"] = canonical.oracle_sql()
