@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafline.llm import canonical, frequency
+from sheafline.llm import canonical, frequency, lookalikes
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,5 @@ QUERIES["p7_found"] = lambda spark, d: canonical.found(
     table(spark, d, "sections"), table(spark, d, "section_columns_map"), table(spark, d, "canonical_titles")
 )
 SQL["p7_found"] = canonical.oracle_sql()
+
+QUERIES["p6_found"] = lambda spark, d: lookalikes.found(table(spark, d, "text_lines"), table(spark, d, "sections"))
