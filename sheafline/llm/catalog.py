@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafline.llm import canonical, frequency, lookalikes
+from sheafline.llm import canonical, frequency, leakage, lookalikes
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,6 @@ QUERIES["p7_found"] = lambda spark, d: canonical.found(
 SQL["p7_found"] = canonical.oracle_sql()
 
 QUERIES["p6_found"] = lambda spark, d: lookalikes.found(table(spark, d, "text_lines"), table(spark, d, "sections"))
+
+QUERIES["p9_found"] = lambda spark, d: leakage.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
+SQL["p9_found"] = leakage.oracle_sql()
