@@ -12,7 +12,9 @@ Cost: only distinct titles are compared; a title that a third of all rows carry
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from sheafline.session import cut
 
 # Letters that stand for one plain letter each, and words that join two halves of a title.
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿаеорсухіјѕкмнтвονρταεικμηβυχγ"
@@ -100,54 +102,67 @@ def _typed_sql(titles: str, duckdb: bool) -> str:
 #: Edits allowed for a reference form of length n: none below 6, four from 10 letters on (two swapped pairs).
 EDITS = "CASE WHEN length(form) < 6 THEN 0 WHEN length(form) < 8 THEN 2 WHEN length(form) < 10 THEN 3 ELSE 4 END"
 
-_PASS_JOIN = """
-  exact AS (
-    SELECT t.title, r.canon_id, 0 AS d FROM typed t JOIN forms r ON t.form = r.form AND (r.abbreviated = 0 OR t.dotted)
-  ),
-  open AS (SELECT DISTINCT t.form FROM typed t LEFT ANTI JOIN exact e ON t.title = e.title),
-  refs AS (SELECT form, canon_id, length(form) AS n, {edits} AS k FROM forms WHERE abbreviated = 0),
+_EXACT = "SELECT t.title, r.canon_id, 0 AS d FROM {typed} t JOIN {forms} r ON t.form = r.form AND (r.abbreviated = 0 OR t.dotted)"
+
+#: form, canon_id, d of every open form within the allowed edits of a reference form.
+_NEAR = """WITH
+  open AS (SELECT DISTINCT t.form FROM {typed} t LEFT ANTI JOIN {exact} e ON t.title = e.title),
+  refs AS (SELECT form, canon_id, length(form) AS n, {edits} AS k FROM {forms} WHERE abbreviated = 0),
   cuts AS (
     SELECT n, k, i, i * (n div (k + 1)) + greatest(0, i - (k + 1 - n % (k + 1))) AS p,
            n div (k + 1) + CASE WHEN i >= k + 1 - n % (k + 1) THEN 1 ELSE 0 END AS l
     FROM (SELECT n, k, explode(sequence(0, k)) AS i FROM (SELECT DISTINCT n, k FROM refs))
   ),
   ref_parts AS (SELECT r.form AS ref, r.canon_id, r.k, r.n, c.i, substr(r.form, c.p + 1, c.l) AS part FROM refs r JOIN cuts c ON r.n = c.n),
+  near_lengths AS (
+    SELECT form, n FROM (SELECT form, explode(sequence(greatest(1, length(form) - 4), length(form) + 4)) AS n FROM open)
+  ),
   spans AS (
     SELECT o.form, c.n, c.i, c.l,
            greatest(0, c.p - c.i, c.p + length(o.form) - c.n - (c.k - c.i)) AS lo,
            least(length(o.form) - c.l, c.p + c.i, c.p + length(o.form) - c.n + (c.k - c.i)) AS hi
-    FROM open o JOIN cuts c ON c.n BETWEEN length(o.form) - 4 AND length(o.form) + 4 AND abs(length(o.form) - c.n) <= c.k
+    FROM near_lengths o JOIN cuts c ON c.n = o.n AND abs(length(o.form) - c.n) <= c.k
   ),
   open_parts AS (
     SELECT form, n, i, substr(form, s + 1, l) AS part FROM (SELECT form, n, i, l, explode(sequence(lo, hi)) AS s FROM spans WHERE lo <= hi)
   ),
   candidates AS (
     SELECT DISTINCT o.form, r.ref, r.canon_id, r.k FROM open_parts o JOIN ref_parts r ON o.n = r.n AND o.i = r.i AND o.part = r.part
-  ),
-  near AS (
-    SELECT form, canon_id, d FROM (SELECT form, canon_id, levenshtein(form, ref, k) AS d FROM candidates) WHERE d >= 0
-  ),
+  )
+SELECT form, canon_id, d FROM (SELECT form, canon_id, levenshtein(form, ref, k) AS d FROM candidates) WHERE d >= 0"""
+
+#: Every distinct title with its best entry; the anti-join reports the titles without one.
+_BEST = """WITH
   hits AS (
-    SELECT title, canon_id, d FROM exact
-    UNION ALL SELECT t.title, n.canon_id, n.d FROM typed t JOIN near n ON t.form = n.form LEFT ANTI JOIN exact e ON t.title = e.title
+    SELECT title, canon_id, d FROM {exact}
+    UNION ALL SELECT t.title, n.canon_id, n.d FROM {typed} t JOIN {near} n ON t.form = n.form LEFT ANTI JOIN {exact} e ON t.title = e.title
   ),
-  best AS (SELECT title, min_by(canon_id, struct(d, canon_id)) AS canon_id, min(d) AS edits FROM hits GROUP BY title)"""
+  best AS (SELECT title, min_by(canon_id, struct(d, canon_id)) AS canon_id, min(d) AS edits FROM hits GROUP BY title)
+SELECT title, canon_id, edits FROM best
+UNION ALL
+SELECT t.title, 0, NULL FROM {titles} t LEFT ANTI JOIN best b ON t.title = b.title WHERE t.title IS NOT NULL GROUP BY t.title"""
+
+
+def _run(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """``sql`` over the frames named in it; braces of regular expressions stay as they are."""
+    for name in frames:
+        sql = sql.replace("{" + name + "}", f"\0{name}\1")
+    return spark.sql(sql.replace("{", "{{").replace("}", "}}").replace("\0", "{").replace("\1", "}"), **frames)
 
 
 def resolve(titles: DataFrame, canonical: DataFrame) -> DataFrame:
     """title, canon_id, edits of each distinct non-null title of ``titles`` (column title); canon_id 0 and edits null where no
     entry is near enough. Of several near entries the one with the fewest edits wins, then the smallest canon_id. Empty
-    titles, titles without letters and an empty list give 0. Other columns of both inputs are ignored."""
-    sql = f"""WITH {_forms_sql('{canonical}', False)}, {_typed_sql('{titles}', False)}, {_PASS_JOIN.replace('{edits}', EDITS)},
-  unmatched AS (SELECT t.title, 0 AS canon_id, CAST(NULL AS INT) AS edits FROM (SELECT DISTINCT title FROM {{titles}} WHERE title IS NOT NULL) t LEFT ANTI JOIN best b ON t.title = b.title)
-SELECT title, canon_id, edits FROM best UNION ALL SELECT title, canon_id, edits FROM unmatched"""
-    return titles.sparkSession.sql(_plain_braces(sql), titles=titles.select("title"), canonical=canonical.select("canon_id", "lang", "title"))
-
-
-def _plain_braces(sql: str) -> str:
-    """Braces of regular expressions doubled, those around the two frames kept."""
-    kept = sql.replace("{titles}", "\0t").replace("{canonical}", "\0c").replace("{", "{{").replace("}", "}}")
-    return kept.replace("\0t", "{titles}").replace("\0c", "{canonical}")
+    titles, titles without letters and an empty list give 0. Other columns of both inputs are ignored.
+
+    The forms, the distinct titles and the matches are checkpointed: each is read several times by what follows."""
+    spark = titles.sparkSession
+    titles, canonical = titles.select("title"), canonical.select("canon_id", "lang", "title")
+    forms = cut(_run(spark, f"WITH {_forms_sql('{canonical}', False)} SELECT * FROM forms", canonical=canonical))
+    typed = cut(_run(spark, f"WITH {_typed_sql('{titles}', False)} SELECT * FROM typed", titles=titles))
+    exact = cut(_run(spark, _EXACT, typed=typed, forms=forms))
+    near = cut(_run(spark, _NEAR.replace("{edits}", EDITS), typed=typed, forms=forms, exact=exact))
+    return _run(spark, _BEST, titles=titles, typed=typed, exact=exact, near=near)
 
 
 def title_records(sections: DataFrame, maps: DataFrame) -> DataFrame:
