@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafline.llm import canonical, frequency, leakage, lookalikes
+from sheafline.llm import canonical, frequency, leakage, lookalikes, neardup
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,6 @@ QUERIES["p6_found"] = lambda spark, d: lookalikes.found(table(spark, d, "text_li
 
 QUERIES["p9_found"] = lambda spark, d: leakage.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 SQL["p9_found"] = leakage.oracle_sql()
+
+QUERIES["p3_found"] = lambda spark, d: neardup.found(table(spark, d, "sections"))
+SQL["p3_found"] = neardup.oracle_sql()
