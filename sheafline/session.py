@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once a session, so that they need no copy of their own."""
+    sc = spark.sparkContext
+    if getattr(sc, "_sheafline", False):
+        return
+    root, packed = Path(__file__).resolve().parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    # The driver serves the file to the executors itself; its place matters to the driver alone.
+    at = Path(tempfile.mkdtemp(prefix="sheafline-")) / "sheafline.zip"
+    at.write_bytes(packed.getvalue())
+    sc.addPyFile(str(at))
+    sc._sheafline = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the test tables."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
