@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafline.llm import canonical, frequency, leakage, lookalikes, neardup
+from sheafline.llm import canonical, frequency, language, leakage, lookalikes, neardup, residue
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,7 @@ SQL["p9_found"] = leakage.oracle_sql()
 
 QUERIES["p3_found"] = lambda spark, d: neardup.found(table(spark, d, "sections"))
 SQL["p3_found"] = neardup.oracle_sql()
+
+QUERIES["p10_found"] = lambda spark, d: residue.found(table(spark, d, "documents"))
+
+QUERIES["p5_found"] = lambda spark, d: language.found(table(spark, d, "sections"), table(spark, d, "canonical_titles"))
