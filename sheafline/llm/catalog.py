@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheafline.llm import canonical, frequency, language, leakage, lookalikes, neardup, residue
+from sheafline.llm import canonical, frequency, language, leakage, lookalikes, neardup, packing, residue, scannoise
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,7 @@ SQL["p3_found"] = neardup.oracle_sql()
 QUERIES["p10_found"] = lambda spark, d: residue.found(table(spark, d, "documents"))
 
 QUERIES["p5_found"] = lambda spark, d: language.found(table(spark, d, "sections"), table(spark, d, "canonical_titles"))
+
+QUERIES["p4_found"] = lambda spark, d: scannoise.found(table(spark, d, "text_lines"), table(spark, d, "sections"), table(spark, d, "image_blocks"))
+
+QUERIES["p8_containers"] = lambda spark, d: packing.containers(table(spark, d, "documents"), "doc_id", "text")
