@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sheafline.operators import inlining
+from sheafline.plans import analysis
 from sheafline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = dict(analysis.QUERIES)
+SQL: dict[str, str] = dict(analysis.SQL)
 
 QUERIES["p1_found"] = lambda spark, d: inlining.found(table(spark, d, "raw_records"))
 SQL["p1_found"] = """
