@@ -17,13 +17,19 @@ def fields(config: Config = DEFAULT) -> Column:
 
 def title_hints(sections: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """A hint for every field one of whose terms occurs in the section's title; more terms, more confidence."""
-    each = sections.select("doc_id", "section_id", "section_no", "page_start", "raw_title", "normalized_title", "text_plain", F.explode(fields(config)).alias("f"))
-    hits = lambda c: F.filter("f.terms", lambda t: F.contains(X.match_form(F.col(c)), t))
-    count = F.greatest(F.size(hits("raw_title")), F.size(hits("normalized_title")))
+    formed = sections.select(
+        "doc_id", "section_id", "section_no", "page_start", "raw_title", "text_plain",
+        X.match_form(F.col("raw_title")).alias("raw_form"), X.match_form(F.col("normalized_title")).alias("norm_form"),
+    )
+    # The forms are compared with every term of every field: compute them once a section.
+    some = "|".join(sorted({t for terms in config.aliases.values() for t in terms}))
+    each = formed.where(F.col("raw_form").rlike(some) | F.col("norm_form").rlike(some)).withColumn("f", F.explode(fields(config)))
+    hits = lambda c: F.filter("f.terms", lambda t: F.contains(F.col(c), t))
+    count = F.greatest(F.size(hits("raw_form")), F.size(hits("norm_form")))
     confidence = F.round(F.least(0.78 + 0.08 * count, F.lit(0.95)), 4)
     return each.where(count > 0).select(
         "doc_id", "f.target_field", confidence.alias("confidence"), F.lit("section_title_similarity").alias("hint_type"), F.col("page_start").alias("page"), "section_id",
-        F.col("raw_title").alias("source_text"), X.snippet(F.col("text_plain")).alias("supporting_text"), hits("raw_title").alias("matched_terms"),
+        F.col("raw_title").alias("source_text"), X.snippet(F.col("text_plain")).alias("supporting_text"), hits("raw_form").alias("matched_terms"),
         F.struct(F.lit(1).alias("group"), F.col("section_no").alias("a"), F.col("f.no").alias("b")).alias("seq"),
     )
 
@@ -31,13 +37,15 @@ def title_hints(sections: DataFrame, config: Config = DEFAULT) -> DataFrame:
 def value_hints(sections: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """Hints from "label: value" in a section's text, and from phrases that tell the origin."""
     found = [
-        F.struct(F.lit(f).alias("target_field"), F.lit(0.89).alias("confidence"), X.label_value(F.col("flat"), labels).alias("v"), F.lit(": ").alias("sep"), F.lit(100 + i).alias("no"))
+        F.struct(F.lit(f).alias("target_field"), F.lit(0.89).alias("confidence"), X.label_value(F.col("found"), F.col("values"), labels).alias("v"), F.lit(": ").alias("sep"), F.lit(100 + i).alias("no"))
         for i, (f, labels) in enumerate(config.value_labels.items())
     ]
     found.append(F.struct(F.lit("origin").alias("target_field"), F.lit(0.9).alias("confidence"), X.origin_value(F.col("flat")).alias("v"), F.lit(" ").alias("sep"), F.lit(200).alias("no")))
     labels = [x for of in config.value_labels.values() for x in of]
     flat = sections.where("text_plain is not null").select("doc_id", "section_id", "section_no", "page_start", X.clean_text(F.col("text_plain")).alias("flat"))
-    flat = flat.where(X.any_label(F.col("flat"), labels) | F.col("flat").rlike("(?i)origin|origen|made in|manufactured in|fabricado en|hecho en"))
+    named, values = X.labelled_values(F.col("flat"), labels)
+    flat = flat.withColumns({"found": named, "values": values})
+    flat = flat.where((F.size("found") > 0) | F.col("flat").rlike("(?i)origin|origen|made in|manufactured in|fabricado en|hecho en"))
     each = flat.select("doc_id", "section_id", "section_no", "page_start", F.explode(F.array(*found)).alias("f")).where("f.v is not null")
     return each.select(
         "doc_id", "f.target_field", "f.confidence", F.lit("pattern_match").alias("hint_type"), F.col("page_start").alias("page"), "section_id",
@@ -51,8 +59,8 @@ def column_hints(tables: DataFrame, config: Config = DEFAULT) -> DataFrame:
     rows = F.slice(F.filter(F.coalesce("rows", F.array().cast("array<array<string>>")), lambda r: r.isNotNull()), 1, 2)
     preview = F.array_join(F.transform(rows, lambda r: F.array_join(F.transform(r, lambda c: F.coalesce(c, F.lit(""))), " ")), " | ")
     each = tables.select("doc_id", "page", "table_uid", preview.alias("preview"), F.posexplode("columns").alias("pos", "name")).where("name is not null")
-    each = each.withColumn("f", F.explode(fields(config)))
-    hits = F.filter("f.terms", lambda t: F.contains(X.match_form(F.col("name")), t))
+    each = each.withColumn("form", X.match_form(F.col("name"))).withColumn("f", F.explode(fields(config)))
+    hits = F.filter("f.terms", lambda t: F.contains(F.col("form"), t))
     return each.where(F.size(hits) > 0).select(
         "doc_id", "f.target_field", F.lit(0.84).alias("confidence"), F.lit("table_header_similarity").alias("hint_type"), (F.col("page") + 1).alias("page"),
         F.lit(None).cast("string").alias("section_id"), F.col("name").alias("source_text"), X.snippet(F.col("preview")).alias("supporting_text"), hits.alias("matched_terms"),

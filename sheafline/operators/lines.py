@@ -153,7 +153,9 @@ def index_page(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
     pages = lines.groupBy(*PAGE).agg(
         F.avg(entry.cast("int")).alias("share"), F.bool_or(title).alias("titled"), F.max("x1").alias("width"), F.array_sort(middle).alias("numbers")
     )
-    rows = anchored_rows(lines, reach=config.row_anchor).join(lines.select(*PAGE, "line_no", "x0", "x1", text.alias("t"), number.alias("number")), [*PAGE, "line_no"])
+    # Rows matter only on pages that bear a contents title.
+    bearing = lines.join(pages.where("titled").select(*PAGE), [*PAGE], "left_semi")
+    rows = anchored_rows(bearing, reach=config.row_anchor).join(bearing.select(*PAGE, "line_no", "x0", "x1", text.alias("t"), number.alias("number")), [*PAGE, "line_no"])
     word = ~F.col("number") & (F.length("t") >= 3)
     per_row = rows.groupBy(*PAGE, "row_no").agg(
         F.max(F.when(F.col("number"), F.col("x0"))).alias("right"),
