@@ -320,7 +320,7 @@ _FIELDS = " UNION ALL ".join(f"SELECT {i} AS no, '{f}' AS target_field, [{_list(
 
 
 @query("title_hints", f"""WITH {SECTIONS}, f AS ({_FIELDS}), c AS (SELECT section_uid, target_field, greatest(len(list_filter(terms, lambda x: contains({_form('raw_title')}, x))), len(list_filter(terms, lambda x: contains({_form('normalized_title')}, x)))) AS n FROM s, f)
-SELECT section_uid, target_field, round(least(0.78 + 0.08 * n, 0.95), 2) AS confidence FROM c WHERE n > 0""")
+SELECT section_uid, target_field, CAST(round(least(0.78 + 0.08 * n, 0.95), 2) AS DOUBLE) AS confidence FROM c WHERE n > 0""")
 def title_hints(spark, d):
     h = hints.title_hints(sections_of(spark, d).withColumn("doc_id", F.col("section_uid")))
     return h.select(F.col("doc_id").alias("section_uid"), "target_field", F.round("confidence", 2).alias("confidence"))
