@@ -28,7 +28,8 @@ def _sub(text: str, pattern: str, to: str, duckdb: bool) -> str:
 
 def _folded(text: str, duckdb: bool) -> str:
     """Lower case without accents, wide forms, invisible characters and foreign look-alikes."""
-    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F)).replace("＇", "")
+    # Without quote and backslash, which would not stand for themselves inside a literal.
+    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if chr(c) not in "＇＼")
     narrow = "".join(chr(ord(c) - 0xFEE0) for c in wide)
     gone = "[̀-ͯ​-‍⁠﻿­]"
     space = "[  -  　 ]"

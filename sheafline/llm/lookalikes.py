@@ -97,7 +97,13 @@ def inventory(strings: DataFrame, text: str) -> Counter:
     pairs = strings.where(F.col(text).rlike(MARKS)).select(
         F.explode(F.regexp_extract_all(text, F.lit(f"([^\\u0300-\\u036F]{MARKS}+)"), 1)).alias("s"), F.lit(1).cast("bigint").alias("n")
     )
-    return Counter({r["s"]: r["n"] for r in points.unionByName(pairs).groupBy("s").agg(F.sum("n").alias("n")).collect()})
+    seen = Counter({r["s"]: r["n"] for r in points.unionByName(pairs).groupBy("s").agg(F.sum("n").alias("n")).collect()})
+    # Strings that one of the code points looks like (the letters of a ligature) are counted as strings.
+    longer = sorted({p for s in seen if len(s) == 1 and (p := _plain(s)) and len(p) > 1})
+    if longer:
+        times = [F.sum((F.length(text) - F.length(F.replace(F.col(text), F.lit(p), F.lit("")))) / len(p)).cast("bigint").alias(f"n{i}") for i, p in enumerate(longer)]
+        seen.update({p: n or 0 for p, n in zip(longer, strings.agg(*times).first())})
+    return seen
 
 
 def representatives(seen: Counter) -> dict[str, str]:
@@ -105,14 +111,14 @@ def representatives(seen: Counter) -> dict[str, str]:
     classes = Classes()
     for s in seen:
         if len(s) > 1:
-            if (one := unicodedata.normalize("NFC", s)) != s:
+            if unicodedata.combining(s[-1]) and (one := unicodedata.normalize("NFC", s)) != s:
                 classes.join(s, one)
         elif (plain := CROSS.get(s, _plain(s))) is not None:
             classes.join(s, plain)
     out = {}
     for members in classes.all().values():
         # What shows nothing stands for nothing however often it occurs.
-        best = "" if "" in members else max(members, key=lambda m: (seen[m] if len(m) == 1 or m in seen else 0, -len(m), [-ord(c) for c in m]))
+        best = "" if "" in members else max(members, key=lambda m: (seen[m], -len(m), [-ord(c) for c in m]))
         out |= {m: best for m in members if m != best and m in seen}
     return out
 
