@@ -4,7 +4,7 @@ An item goes where the sum, over all residual gaps, of the squared number of ope
 smallest; a new container is one of the choices. This keeps containers of every gap at hand and so closes most of them
 exactly full.
 
-The rule is sequential, so it runs within shards of about ``shard_items`` items, whose number follows from a count; an item
+Large items come first, so that the small ones are there to close what they leave. The rule is sequential, so it runs within shards of about ``shard_items`` items, whose number follows from a count; an item
 is a pair (id, size), never a text. Containers left with more than ``slack`` of their room are taken apart and their items
 packed again in fewer shards, until one shard held them all or ``rounds`` are over.
 """
@@ -85,7 +85,7 @@ def _packed(items: DataFrame, capacity: int, shards: int, name: str) -> DataFram
     schema = T.StructType([*items.schema.fields, T.StructField("container", T.StringType()), T.StructField("room", T.IntegerType())])
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["order", "item"], kind="stable")
+        group = group.sort_values(["n_tokens", "order", "item"], ascending=[False, True, True], kind="stable")
         p = Packer(capacity)
         at = np.fromiter((p.place(int(s)) for s in group["n_tokens"]), np.int64, len(group))
         shard = int(group["shard"].iloc[0])
