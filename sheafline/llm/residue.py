@@ -213,6 +213,8 @@ class Model:
         seed = " ".join([*(f"a {x}{n}{y} a" for x, y in DELIMITERS for n in NAMES), *(f"a {b} a" for b in BLANKS)])
         self.shape = _ratios(np.bincount(_hashed(shape(_codes(seed), seed), 4, SHAPES), minlength=SHAPES), counts[1])
         self.neighbours = counts[2]
+        # In a table that is mostly empty any count tells; in a full one a pair must be met more often than bins are by chance.
+        self.chance = float(np.median(counts[2]))
 
     def covered(self, sentence: str, window: int = 12) -> tuple[float, str]:
         """The largest share of the sentence covered by windows whose mean ratio is positive, and of which model."""
@@ -262,7 +264,7 @@ class Model:
         for i, (a, b) in enumerate(found):
             before = _words(PLACEHOLDER.sub(" ", line[:a]))[-2] if WORD.search(PLACEHOLDER.sub(" ", line[:a])) else ""
             after = _words(PLACEHOLDER.sub(" ", line[b:]))[1] if WORD.search(PLACEHOLDER.sub(" ", line[b:])) else ""
-            if not before and not after or self.neighbours[zlib.crc32(f"{before}\0{after}".encode()) % BIGRAMS] > 0:
+            if not before and not after or self.neighbours[zlib.crc32(f"{before}\0{after}".encode()) % BIGRAMS] > self.chance:
                 out.append((a, b))
         return out
 
