@@ -119,3 +119,12 @@ def table_grid(columns: Column, rows: Column) -> Column:
     line = lambda r: F.array_join(F.transform(r, lambda c: F.coalesce(c, F.lit(""))), " | ")
     head = F.when(F.size(columns) > 0, F.array(line(columns), dashes)).otherwise(F.array().cast("array<string>"))
     return F.array_join(F.concat(head, F.transform(F.filter(rows, lambda r: r.isNotNull()), line)), "\n")
+
+
+def json_map(reply: Column) -> Column:
+    """The JSON object in a model's reply as a map of strings: code fences are cut off; if the rest isn't an object, what
+    stands between its first and last brace is tried; an empty map if nothing fits."""
+    bare = F.btrim(F.regexp_replace(F.coalesce(reply, F.lit("")), r"^\s*```[a-zA-Z]*\s*|\s*```\s*$", ""))
+    inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
+    parse = lambda x: F.from_json(x, "map<string,string>")
+    return F.coalesce(F.when(F.startswith(bare, F.lit("{")), parse(bare)), F.when(inner != "", parse(inner)), F.from_json(F.lit("{}"), "map<string,string>"))

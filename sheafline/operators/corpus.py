@@ -137,3 +137,34 @@ def top_titles(sections: DataFrame, n: int = 5) -> DataFrame:
     order = F.row_number().over(W.partitionBy("doc_id").orderBy("section_no"))
     first = real.withColumn("_n", order).where(F.col("_n") <= n)
     return first.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "raw_title"))), lambda s: s["raw_title"]), " | ").alias("titles"))
+
+
+def top_normalized(sections: DataFrame, n: int = 8) -> DataFrame:
+    """doc_id, categories: the ``n`` most frequent real normalized titles of a document, of equal ones the first met."""
+    real = sections.where(F.col("normalized_title").isNotNull() & ~F.col("normalized_title").isin(*STRUCTURAL_NORMS))
+    counts = real.groupBy("doc_id", "normalized_title").agg(F.count("*").alias("c"), F.min("section_no").alias("first"))
+    rank = F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("c"), "first", "normalized_title"))
+    kept = counts.withColumn("_n", rank).where(F.col("_n") <= n)
+    return kept.groupBy("doc_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_n", "normalized_title"))), lambda s: s["normalized_title"]), " | ").alias("categories")
+    )
+
+
+def page_records(lines: DataFrame, images: DataFrame, tables: DataFrame) -> DataFrame:
+    """doc_id, page (from 1), counts of lines, images, tables and contents entries, and the page's header candidates in
+    order: struct(line_no, text, score, header_level)."""
+    header = F.col("header_level") != "non_header"
+    pages = lines.groupBy("doc_id", "page").agg(
+        F.count("*").alias("text_line_count"),
+        F.count_if(F.col("toc_page_number").isNotNull()).alias("toc_entry_count"),
+        F.array_sort(F.collect_list(F.when(header, F.struct("line_no", "text", F.col("header_score").alias("score"), "header_level")))).alias("header_candidates"),
+    )
+    count = lambda df, name: df.groupBy("doc_id", "page").agg(F.count("*").alias(name))
+    pages = pages.join(count(images, "image_count"), ["doc_id", "page"], "left").join(count(tables, "table_count"), ["doc_id", "page"], "left")
+    zero = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("image_count", "table_count")}
+    return pages.withColumns(zero | {"page": F.col("page") + 1, "is_toc_page": F.col("toc_entry_count") > 0})
+
+
+def image_only(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """doc_id, chars of the documents whose lines hold hardly any text, as scans and drawings do."""
+    return lines.groupBy("doc_id").agg(F.sum(F.length("text")).cast("bigint").alias("chars")).where(F.col("chars") < config.image_only_chars)

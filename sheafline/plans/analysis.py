@@ -433,3 +433,49 @@ def stale_rows(spark, d):
     s = table(spark, d, "sections")
     wanted, cached = s.groupBy("doc_id").agg(F.max("ingested_at").alias("at")), s.groupBy("doc_id").agg(F.min("ingested_at").alias("at"))
     return matrix.missing_or_stale(wanted, cached, ["doc_id"], "at").select("doc_id", "at")
+
+
+@query("reading_order", f"WITH {LINES}, {ORDER} SELECT doc_id, page, line_no, CAST(pos AS BIGINT) AS pos FROM oo")
+def reading_order(spark, d):
+    return S.reading_order(lines_of(spark, d)).select("doc_id", "page", "line_no", F.col("pos").cast("bigint").alias("pos"))
+
+
+@query("page_records", f"""WITH {LINES}, {IMAGES}, {TABLES}, a AS (SELECT doc_id, page, count(*) AS text_line_count, count(*) FILTER (toc_page_number IS NOT NULL) AS toc_entry_count,
+    coalesce(string_agg(text || ' ' || header_score, ' | ' ORDER BY line_no) FILTER (header_level <> 'non_header'), '') AS headers FROM l GROUP BY ALL),
+  b AS (SELECT doc_id, page, count(*) AS image_count FROM i GROUP BY ALL), c AS (SELECT doc_id, page, count(*) AS table_count FROM t GROUP BY ALL)
+SELECT doc_id, CAST(page + 1 AS INT) AS page, text_line_count, toc_entry_count, coalesce(image_count, 0) AS image_count, coalesce(table_count, 0) AS table_count, toc_entry_count > 0 AS is_toc_page, headers
+FROM a LEFT JOIN b USING (doc_id, page) LEFT JOIN c USING (doc_id, page)""")
+def page_records(spark, d):
+    r = corpus.page_records(lines_of(spark, d), images_of(spark, d), tables_of(spark, d))
+    return r.withColumn("headers", F.array_join(F.transform("header_candidates", lambda h: F.concat_ws(" ", h["text"], h["score"])), " | ")).drop("header_candidates")
+
+
+@query("image_only_documents", f"WITH {LINES} SELECT doc_id, CAST(sum(length(text)) AS BIGINT) AS chars FROM l GROUP BY doc_id HAVING sum(length(text)) < 100")
+def image_only_documents(spark, d):
+    return corpus.image_only(lines_of(spark, d))
+
+
+@query("top_normalized", f"""WITH {SECTIONS}, c AS (SELECT doc_id, normalized_title, count(*) AS c, min(section_no) AS f FROM s WHERE normalized_title IS NOT NULL AND normalized_title NOT IN ({_list(C.STRUCTURAL_NORMS)}) GROUP BY ALL),
+  r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY c DESC, f, normalized_title) AS n FROM c)
+SELECT doc_id, string_agg(normalized_title, ' | ' ORDER BY n) AS categories FROM r WHERE n <= 8 GROUP BY doc_id""")
+def top_normalized(spark, d):
+    return corpus.top_normalized(sections_of(spark, d))
+
+
+@query("column_prompt", f"""WITH {SECTIONS}, {FREQUENCY} SELECT 'Group these titles:' || chr(10) || string_agg('- ' || normalized_title || ' (' || doc_count || ' docs)', chr(10) ORDER BY doc_count DESC, normalized_title) AS prompt
+FROM fd WHERE normalized_title NOT IN ({_list(C.STRUCTURAL_NORMS)}) AND doc_count >= 2""")
+def column_prompt(spark, d):
+    return matrix.prompt(corpus.title_frequency(sections_of(spark, d)).where("doc_count >= 2"), "Group these titles:")
+
+
+@query("json_map", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE props IS NOT NULL")
+def json_map(spark, d):
+    fenced = F.concat(F.lit("```json\n"), "props", F.lit("\n```"))
+    return table(spark, d, "events").where("props is not null").select("event_id", F.element_at(X.json_map(fenced), "k").alias("k"))
+
+
+@query("titles_by_day", f"""SELECT date_trunc('day', ingested_at) AS day, coalesce(nullif({_normal('raw_title')}, ''), 'other') AS normalized_title, count(*) AS sections FROM sections GROUP BY ALL""")
+def titles_by_day(spark, d):
+    from sheafline.streaming.incremental import title_counts
+
+    return title_counts(table(spark, d, "sections"))

@@ -35,3 +35,8 @@ def test_labels(spark):
 def test_table_grid(spark):
     grid = X.table_grid(F.array(F.lit("a"), F.lit(None).cast("string")), F.array(F.array(F.lit("1"), F.lit("2")), F.lit(None).cast("array<string>")))
     assert value(spark, grid) == "a | \n" + "-" * 20 + "\n1 | 2"
+
+
+def test_json_map(spark):
+    for reply, want in (('```json\n{"a": "b"}\n```', {"a": "b"}), ('sure: {"a": 1} ok', {"a": "1"}), ("none", {}), (None, {}), ("", {})):
+        assert value(spark, X.json_map(F.lit(reply).cast("string"))) == want
