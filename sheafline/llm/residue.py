@@ -110,30 +110,31 @@ def _hashed(codes: np.ndarray, n: int, size: int) -> np.ndarray:
     return (h % np.uint64(size)).astype(np.int64)
 
 
-_DIGITS = {ord(d): "0" for d in "123456789"}
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """For each code point of the basic plane its plain form (lower case, digits 0) and its shape (letters a, capitals A,
+    digits 0, others themselves)."""
+    plain, shape = np.arange(0x10000, dtype=np.uint64), np.arange(0x10000, dtype=np.uint64)
+    for i in range(0x10000):
+        c = chr(i)
+        low = c.lower()
+        if c.isalpha():
+            plain[i], shape[i] = ord(low[0]), 65 if low != c else 97
+        elif "0" <= c <= "9":
+            plain[i] = shape[i] = 48
+    return plain, shape
 
 
-def plain(text: str) -> str:
-    """Lower case, every digit 0; one character for each of ``text``."""
-    low = text.lower()
-    return (low if len(low) == len(text) else "".join(c.lower()[:1] for c in text)).translate(_DIGITS)
+_PLAIN, _SHAPE = _tables()
 
 
-_A, _B, _Z = np.uint64(97), np.uint64(65), np.uint64(48)
+def plain(codes: np.ndarray) -> np.ndarray:
+    """Lower case, every digit 0; a character for each."""
+    return np.where(codes < 0x10000, _PLAIN[np.minimum(codes, 0xFFFF)], codes)
 
 
-def shape(codes: np.ndarray, text: str) -> np.ndarray:
+def shape(codes: np.ndarray) -> np.ndarray:
     """Letters a, capitals A, digits 0, other characters as they are."""
-    out = codes.copy()
-    letter = np.array([c.isalpha() for c in text], bool) if not text.isascii() else ((codes | 32) >= 97) & ((codes | 32) <= 122)
-    low = _codes(text.lower()) if len(text.lower()) == len(text) else codes
-    out[letter] = np.where(low[letter] != codes[letter], _B, _A)
-    out[(codes >= 48) & (codes <= 57)] = _Z
-    return out
-
-
-def _neighbours(words: list[str]) -> np.ndarray:
-    return np.array([zlib.crc32(f"{a}\0{b}".encode()) % BIGRAMS for a, b in zip(words, words[1:])], np.int64)
+    return np.where(codes < 0x10000, _SHAPE[np.minimum(codes, 0xFFFF)], codes)
 
 
 def _words(text: str) -> list[str]:
@@ -156,8 +157,8 @@ def _counted(texts: list[str]) -> list[np.ndarray]:
     for (a, b), n in bigrams.items():
         third[zlib.crc32(f"{a}\0{b}".encode()) % BIGRAMS] += n
     return [
-        np.bincount(_hashed(_codes(plain(whole)), 5, GRAMS), minlength=GRAMS),
-        np.bincount(_hashed(shape(codes, whole), 4, SHAPES), minlength=SHAPES),
+        np.bincount(_hashed(plain(codes), 5, GRAMS), minlength=GRAMS),
+        np.bincount(_hashed(shape(codes), 4, SHAPES), minlength=SHAPES),
         third,
     ]
 
@@ -208,17 +209,17 @@ class Model:
     """The ratio tables and the natural neighbours."""
 
     def __init__(self, counts: list[np.ndarray]) -> None:
-        grams = lambda s: np.bincount(_hashed(_codes(plain(s)), 5, GRAMS), minlength=GRAMS)
+        grams = lambda s: np.bincount(_hashed(plain(_codes(s)), 5, GRAMS), minlength=GRAMS)
         self.filler, self.notice = _ratios(grams(FILLER), counts[0]), _ratios(grams(NOTICES), counts[0])
         seed = " ".join([*(f"a {x}{n}{y} a" for x, y in DELIMITERS for n in NAMES), *(f"a {b} a" for b in BLANKS)])
-        self.shape = _ratios(np.bincount(_hashed(shape(_codes(seed), seed), 4, SHAPES), minlength=SHAPES), counts[1])
+        self.shape = _ratios(np.bincount(_hashed(shape(_codes(seed)), 4, SHAPES), minlength=SHAPES), counts[1])
         self.neighbours = counts[2]
         # In a table that is mostly empty any count tells; in a full one a pair must be met more often than bins are by chance.
         self.chance = float(np.median(counts[2]))
 
     def covered(self, sentence: str, window: int = 12) -> tuple[float, str]:
         """The largest share of the sentence covered by windows whose mean ratio is positive, and of which model."""
-        at = _hashed(_codes(plain(sentence)), 5, GRAMS)
+        at = _hashed(plain(_codes(sentence)), 5, GRAMS)
         best = (0.0, "")
         for kind, table in (("filler", self.filler), ("notice", self.notice)):
             if len(at):
@@ -232,15 +233,43 @@ class Model:
                 best = max(best, (float((np.cumsum(edge[:-1]) > 0).mean()), kind))
         return best
 
+    def suspects(self, texts: list[str | None], at_once: int = 1_000_000) -> list[int]:
+        """Places of the texts that may hold residue: a placeholder's shape, or five n-grams whose mean ratio is above half
+        of what a sentence needs. Many texts are looked up as one array; only these few are read sentence by sentence."""
+        out: list[int] = []
+        part: list[int] = []
+        size = 0
+        for i, t in enumerate([*texts, None]):
+            if t:
+                part.append(i)
+                size += len(t) + 1
+            if part and (size >= at_once or i == len(texts)):
+                codes = _codes("\n".join(texts[k] for k in part))
+                low = _hashed(plain(codes), 5, GRAMS)
+                hit = np.zeros(len(codes) + 1, bool)
+                for table in (self.filler, self.notice):
+                    r = np.concatenate(([0], np.cumsum(table[low], dtype=np.float64)))
+                    if len(r) > 5:
+                        hit[: len(r) - 5] |= r[5:] - r[:-5] > 2.5 * MEAN
+                marks = self.shape[_hashed(shape(codes), 4, SHAPES)] > 1
+                hit[: len(marks)] |= marks
+                seen = np.concatenate(([0], np.cumsum(hit)))
+                ends = np.cumsum([len(texts[k]) + 1 for k in part])
+                found = seen[np.minimum(ends, len(seen) - 1)] > seen[np.concatenate(([0], ends[:-1]))]
+                # Too short for five n-grams: read it.
+                out += [k for k, f in zip(part, found) if f or len(texts[k]) < 10]
+                part, size = [], 0
+        return out
+
     def spans(self, text: str) -> list[tuple[int, int, str]]:
         """(start, end, kind) of the residue in ``text``."""
         out = []
         if not text:
             return out
         codes = _codes(text)
-        low = _hashed(_codes(plain(text)), 5, GRAMS)
+        low = _hashed(plain(codes), 5, GRAMS)
         filler, notice = (np.concatenate(([0], np.cumsum(t[low], dtype=np.float64))) for t in (self.filler, self.notice))
-        marks = self.shape[_hashed(shape(codes, text), 4, SHAPES)] > 1
+        marks = self.shape[_hashed(shape(codes), 4, SHAPES)] > 1
         hit = np.concatenate(([0], np.cumsum(marks)))
         for m in SENTENCE.finditer(text):
             a, b = m.span()
@@ -286,7 +315,8 @@ def spans(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(d, k, a, b - a, t[a:b]) for d, t in zip(batch[doc_id], batch[text]) for a, b, k in model.value.spans(t)]
+            ids, texts = batch[doc_id].tolist(), batch[text].tolist()
+            rows = [(ids[i], k, a, b - a, texts[i][a:b]) for i in model.value.suspects(texts) for a, b, k in model.value.spans(texts[i])]
             yield pd.DataFrame(rows, columns=[doc_id, "kind", "start", "length", "piece"])
 
     return documents.select(doc_id, text).mapInPandas(search, schema)
