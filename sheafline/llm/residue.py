@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,18 +27,23 @@ from pyspark.sql import DataFrame, functions as F
 GRAMS, SHAPES, BIGRAMS = 1 << 20, 1 << 16, 1 << 22
 CHUNK = 1 << 16
 
-# Seed texts of the filler model.
-FILLER = """
+# The passage that filler text takes its words from, in any order.
+PASSAGE = """
 lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
 ut enim ad minim veniam quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat duis aute irure
 dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur excepteur sint occaecat cupidatat non
 proident sunt in culpa qui officia deserunt mollit anim id est laborum
 dolore magna sed ut et do elit enim ipsum amet sit lorem veniam quis aliqua minim labore tempor incididunt nostrud eiusmod
+"""
+
+# Seed texts of the filler model.
+FILLER = """
 text text text text text text text text
 xxx xxx xxx xxx xxx xxx xxxx xxxx
 asdf asdf asdf asdf qwerty qwerty qwerty
 test test test test test
 blindtext blindtext blindtext blindtext das ist ein blindtext
+(insert drawing number) (insert name) (insert picture here) (add picture) (enter value) (to be completed) (your text here)
 sample paragraph goes here. sample text goes here. your text goes here. insert text here. add your text here.
 this is placeholder text. this is dummy text. replace this text. content to be added. to be completed. to be supplied later.
 describe the product here in two or three sentences. enter a short description of the product here. describe it in a few sentences here.
@@ -78,7 +84,7 @@ attivare javascript per visualizzare la pagina. attivare javascript per visualiz
 # Delimiters of placeholders and names that stand between them, from which the seed of the shape model is written.
 DELIMITERS = [
     ("{{", "}}"), ("{{ ", " }}"), ("{", "}"), ("{% ", " %}"), ("${", "}"), ("$(", ")"), ("[[", "]]"), ("[", "]"), ("<<", ">>"), ("<", ">"),
-    ("«", "»"), ("(( ", " ))"), ("__", "__"), ("@@", "@@"), ("%", "%"), ("#", "#"), ("<?= ", " ?>"), ("<% ", " %>"), ("&lt;", "&gt;"),
+    ("«", "»"), ("(( ", " ))"), ("__", "__"), ("@@", "@@"), ("%", "%"), ("#", "#"), ("<?= ", " ?>"), ("<% ", " %>"), ("&lt;", "&gt;"), ("##", "##"),
 ]
 NAMES = ["name", "PRODUCT_NAME", "product_name", "Your text here", "DATE", "address_line_2", "insert title", "TODO: value", "image: side view", "TBD", "spec.weight | default", "INSERT TITLE HERE"]
 BLANKS = ["XXXX-XXXX", "XXX-XXXX", "XXXX", "NN.NN.NNNN", "DD.MM.YYYY", "#VALUE!", "#REF!", "#NAME?", "#DIV/0!", "_______", "%s", "%d"]
@@ -87,7 +93,8 @@ BLANKS = ["XXXX-XXXX", "XXX-XXXX", "XXXX", "NN.NN.NNNN", "DD.MM.YYYY", "#VALUE!"
 PLACEHOLDER = re.compile(
     r"&lt;[^&\n]{1,60}&gt;|\{\{[^{}\n]{1,60}\}\}|\{%[^%\n]{1,60}%\}|\$?\{[^{}\n]{1,60}\}|\$\([^()\n]{1,60}\)|\[\[[^\[\]\n]{1,60}\]\]|\[(?=[^\]\n]*[^\W\d_])[^\[\]\n]{1,60}\]"
     r"|<<[^<>\n]{1,60}>>|<[?%]?[=]? ?[^\W\d][^<>\n]{0,60}>|«[^«»\n]{1,60}»|\(\([^()\n]{1,60}\)\)|__[^\W\d_](?:[^_\n]|_(?!_)){0,60}__|@@[^@\n]{1,60}@@|%[^\W\d_][^%\n]{1,40}%"
-    r"|#[^\W\d_][^#\n]{1,40}#|#(?:VALUE!|REF!|NAME\?|DIV/0!|N/A)|(?<![\w-])[XN]{2,}(?:[-.][XN]{2,})+(?![\w-])|(?<![\w-])X{3,}(?![\w-])|%[sd]\b|_{4,}"
+    r"|##[^#\n]{1,40}##|#(?:VALUE!|REF!|NAME\?|DIV/0!|N/A)|#[^\W\d_][^#\n]{1,40}#"
+    r"|\((?:insert|add|enter|fill in|your|to be|einfügen|hier|insertar|inserte|añadir|insérer|ajouter|inserire|aggiungere)\b[^()\n]{1,40}\)|(?<![\w-])[XN]{2,}(?:[-.][XN]{2,})+(?![\w-])|(?<![\w-])X{3,}(?![\w-])|%[sd]\b|_{4,}"
 )
 SENTENCE = re.compile(r"[^\n]+?(?:[.!?](?= |$|\n)|(?=\n)|$)", re.M)
 WORD = re.compile(r"[^\W_]+")
@@ -95,25 +102,33 @@ DIGIT = re.compile(r"\d")
 
 
 def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+# Odd multipliers, one for each place of an n-gram, and one to mix their sum.
+_MULTIPLIERS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)]
+_MIX = np.uint32(0x2C1B3C6D)
 
 
 def _hashed(codes: np.ndarray, n: int, size: int) -> np.ndarray:
-    """Bin of the n-gram that begins at each position."""
-    if len(codes) < n:
-        return np.zeros(0, np.int64)
-    h = np.zeros(len(codes) - n + 1, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(n):
-            h = (h ^ codes[i : len(codes) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-            h ^= h >> np.uint64(29)
-    return (h % np.uint64(size)).astype(np.int64)
+    """Bin of the n-gram that begins at each position; ``size`` is a power of two, ``n`` at most five."""
+    m = len(codes) - n + 1
+    if m < 1:
+        return np.zeros(0, np.uint32)
+    h = codes[:m] * _MULTIPLIERS[0]
+    for i in range(1, n):
+        h += codes[i : i + m] * _MULTIPLIERS[i]
+    h ^= h >> np.uint32(16)
+    h *= _MIX
+    h ^= h >> np.uint32(15)
+    h *= _MULTIPLIERS[1]
+    return h >> np.uint32(33 - size.bit_length())
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """For each code point of the basic plane its plain form (lower case, digits 0) and its shape (letters a, capitals A,
     digits 0, others themselves)."""
-    plain, shape = np.arange(0x10000, dtype=np.uint64), np.arange(0x10000, dtype=np.uint64)
+    plain, shape = np.arange(0x10000, dtype=np.uint32), np.arange(0x10000, dtype=np.uint32)
     for i in range(0x10000):
         c = chr(i)
         low = c.lower()
@@ -127,14 +142,20 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 _PLAIN, _SHAPE = _tables()
 
 
+def _mapped(codes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    if not len(codes) or codes.max() < 0x10000:
+        return table[codes]
+    return np.where(codes < 0x10000, table[np.minimum(codes, 0xFFFF)], codes)
+
+
 def plain(codes: np.ndarray) -> np.ndarray:
     """Lower case, every digit 0; a character for each."""
-    return np.where(codes < 0x10000, _PLAIN[np.minimum(codes, 0xFFFF)], codes)
+    return _mapped(codes, _PLAIN)
 
 
 def shape(codes: np.ndarray) -> np.ndarray:
     """Letters a, capitals A, digits 0, other characters as they are."""
-    return np.where(codes < 0x10000, _SHAPE[np.minimum(codes, 0xFFFF)], codes)
+    return _mapped(codes, _SHAPE)
 
 
 def _words(text: str) -> list[str]:
@@ -146,43 +167,36 @@ def _words(text: str) -> list[str]:
     return [*out, ""]
 
 
-def _counted(texts: list[str]) -> list[np.ndarray]:
+def _count_into(total: list[np.ndarray], texts: list[str]) -> None:
+    """Add the counts of ``texts`` to the three tables."""
     whole = "\n".join(texts)
     codes = _codes(whole)
-    bigrams: dict[tuple[str, str], int] = {}
+    total[0] += np.bincount(_hashed(plain(codes), 5, GRAMS), minlength=GRAMS)
+    total[1] += np.bincount(_hashed(shape(codes), 4, SHAPES), minlength=SHAPES)
     words = _words(whole)
-    for pair in zip(words, words[1:]):
-        bigrams[pair] = bigrams.get(pair, 0) + 1
-    third = np.zeros(BIGRAMS, np.int64)
-    for (a, b), n in bigrams.items():
-        third[zlib.crc32(f"{a}\0{b}".encode()) % BIGRAMS] += n
-    return [
-        np.bincount(_hashed(plain(codes), 5, GRAMS), minlength=GRAMS),
-        np.bincount(_hashed(shape(codes), 4, SHAPES), minlength=SHAPES),
-        third,
-    ]
+    pairs = Counter(zip(words, words[1:]))
+    at = np.fromiter((zlib.crc32(f"{a}\0{b}".encode()) % BIGRAMS for a, b in pairs), np.int64, len(pairs))
+    np.add.at(total[2], at, np.fromiter(pairs.values(), np.int64, len(pairs)))
 
 
 def natural_counts(documents: DataFrame, text: str) -> list[np.ndarray]:
     """The three count tables of the whole collection; null texts count nothing. Their size doesn't depend on the data."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        total = [np.zeros(n, np.int64) for n in (GRAMS, SHAPES, BIGRAMS)]
         for batch in batches:
             # A batch may hold long texts: count them some millions of characters at a time.
             part, size = [], 0
-            for t in [*batch[text], None]:
+            for t in batch[text]:
                 if t:
                     part.append(t)
                     size += len(t)
-                if part and (size > 2_000_000 or t is None and size > 500_000):
-                    more = _counted(part)
-                    total = more if total is None else [a + b for a, b in zip(total, more)]
+                if size > 2_000_000:
+                    _count_into(total, part)
                     part, size = [], 0
             if part:
-                more = _counted(part)
-                total = more if total is None else [a + b for a, b in zip(total, more)]
-        if total is not None:
+                _count_into(total, part)
+        if total[0].any():
             flat = np.concatenate(total)
             yield pd.DataFrame([(i // CHUNK, zlib.compress(flat[i : i + CHUNK].tobytes(), 1)) for i in range(0, len(flat), CHUNK)], columns=["chunk", "data"])
 
@@ -205,12 +219,19 @@ def _ratios(seed: np.ndarray, natural: np.ndarray, keep: float = 0.05) -> np.nda
     return np.log(((1 - keep) * own + keep * nat) / nat).astype(np.float32)
 
 
+def _shuffled(passage: str, words: int = 12_000) -> str:
+    """The passage's words in random order, so that every pair of neighbours has its share of the model."""
+    rng = np.random.default_rng(1)
+    return " ".join(rng.choice(passage.split(), words))
+
+
 class Model:
     """The ratio tables and the natural neighbours."""
 
     def __init__(self, counts: list[np.ndarray]) -> None:
         grams = lambda s: np.bincount(_hashed(plain(_codes(s)), 5, GRAMS), minlength=GRAMS)
-        self.filler, self.notice = _ratios(grams(FILLER), counts[0]), _ratios(grams(NOTICES), counts[0])
+        seeds = (("filler", FILLER), ("filler", _shuffled(PASSAGE)), ("notice", NOTICES))
+        self.tables = [(kind, _ratios(grams(text), counts[0])) for kind, text in seeds]
         seed = " ".join([*(f"a {x}{n}{y} a" for x, y in DELIMITERS for n in NAMES), *(f"a {b} a" for b in BLANKS)])
         self.shape = _ratios(np.bincount(_hashed(shape(_codes(seed)), 4, SHAPES), minlength=SHAPES), counts[1])
         self.neighbours = counts[2]
@@ -221,7 +242,7 @@ class Model:
         """The largest share of the sentence covered by windows whose mean ratio is positive, and of which model."""
         at = _hashed(plain(_codes(sentence)), 5, GRAMS)
         best = (0.0, "")
-        for kind, table in (("filler", self.filler), ("notice", self.notice)):
+        for kind, table in self.tables:
             if len(at):
                 r = table[at]
                 w = min(window, len(r))
@@ -247,7 +268,7 @@ class Model:
                 codes = _codes("\n".join(texts[k] for k in part))
                 low = _hashed(plain(codes), 5, GRAMS)
                 hit = np.zeros(len(codes) + 1, bool)
-                for table in (self.filler, self.notice):
+                for _, table in self.tables:
                     r = np.concatenate(([0], np.cumsum(table[low], dtype=np.float64)))
                     if len(r) > 5:
                         hit[: len(r) - 5] |= r[5:] - r[:-5] > 2.5 * MEAN
@@ -268,15 +289,19 @@ class Model:
             return out
         codes = _codes(text)
         low = _hashed(plain(codes), 5, GRAMS)
-        filler, notice = (np.concatenate(([0], np.cumsum(t[low], dtype=np.float64))) for t in (self.filler, self.notice))
+        sums = [np.concatenate(([0], np.cumsum(t[low], dtype=np.float64))) for _, t in self.tables]
         marks = self.shape[_hashed(shape(codes), 4, SHAPES)] > 1
-        hit = np.concatenate(([0], np.cumsum(marks)))
+        hot = np.zeros(len(codes) + 1, bool)
+        hot[: len(marks)] |= marks
+        if len(low) > 4:
+            hot[: len(low) - 4] |= sums[0][5:] - sums[0][:-5] > 2.5 * MEAN
+        hit = np.concatenate(([0], np.cumsum(hot)))
         for m in SENTENCE.finditer(text):
             a, b = m.span()
             while a < b and text[a].isspace():
                 a += 1
-            end = min(max(a, b - 4), len(filler) - 1)
-            if end - a >= 5 and max(filler[end] - filler[a], notice[end] - notice[a]) > MEAN * (end - a):
+            end = min(max(a, b - 4), len(low))
+            if end - a >= 5 and max(r[end] - r[a] for r in sums) > MEAN * (end - a):
                 share, kind = self.covered(text[a:b])
                 if share >= COVERED:
                     out.append((a, b, kind))
