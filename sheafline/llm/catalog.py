@@ -49,4 +49,6 @@ QUERIES["p5_found"] = lambda spark, d: language.found(table(spark, d, "sections"
 
 QUERIES["p4_found"] = lambda spark, d: scannoise.found(table(spark, d, "text_lines"), table(spark, d, "sections"), table(spark, d, "image_blocks"))
 
+QUERIES["p4_paragraphs"] = lambda spark, d: scannoise.paragraphs(table(spark, d, "text_lines"), table(spark, d, "sections"), table(spark, d, "image_blocks"))
+
 QUERIES["p8_containers"] = lambda spark, d: packing.containers(table(spark, d, "documents"), "doc_id", "text")

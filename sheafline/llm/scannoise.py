@@ -7,10 +7,10 @@
 3. *Headers*: a shape met at the edges of at least two pages of its PDF, and of a tenth of them, is its running header;
    lines of sections and images of that shape are the header, too. Case, order, separators, page numbers and misread
    characters don't matter. An image is a page by itself: its header is a short line made of words of running headers.
-4. *Cut words*: a line's last word with a hyphen goes on in the next line of the text, over page numbers and headers,
-   unless a conjunction follows ("left- and right-hand").
-
-``repaired`` joins what is left into paragraphs: words known with a hyphen keep it, others are closed up.
+4. *Cut words*: a line's last word with a hyphen goes on in the next line of the text, over page numbers and headers. The
+   vocabulary decides how: a known whole is closed up; else a conjunction is kept apart ("left- and right-hand"), two
+   known words keep their hyphen and anything else is closed up. ``found`` and ``paragraphs`` share this rule.
+5. *Paragraphs*: what is left of every page, section and image is joined, also over the border of two pages.
 The vocabulary that reaches the driver is bounded by ``most_words``; a word beyond it is only known through its shape.
 """
 
@@ -22,7 +22,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sheafline.llm.lookalikes import CROSS, INVISIBLE
 from sheafline.session import cut
@@ -42,6 +43,7 @@ PAGE_NUMBER = re.compile(
 AROUND = re.compile(r"^[\s\-–—~*.·•\[\](){}<>«»=_]*|\|?$|[\s\-–—~*.·•\[\](){}<>«»=_]*$")
 DIGIT = re.compile(r"[0-9]")
 LETTERS = re.compile(r"[^\W\d_]+")
+LAST_LETTERS = re.compile(rf"[^\W\d_]+(?=[{HYPHENS}]$)")
 SHAPED = re.compile(r"[^\W_]+")
 CODE = re.compile(r"^[A-Z]{1,4}(?:-[A-Z]{1,3})*-?[0-9]+$|^[0-9]+[A-Z]*$")
 ENDS = ".,;:!?()[]{}\"«»|*•…"
@@ -178,17 +180,26 @@ ROWS = "record_type STRING, record_id BIGINT, kind STRING, doc_id STRING, page I
 _NAMES = ["record_type", "record_id", "kind", "doc_id", "page", "key"]
 
 
-def _goes_on(first: str | None) -> bool:
-    """Whether a text that begins with ``first`` can go on with a cut word."""
-    m = LETTERS.match(first.lstrip()) if first else None
-    return bool(m) and m[0].lower() not in APART
+def _joint(before: str, after: str | None, known: Vocabulary) -> str | None:
+    """What stands between the halves of a word where ``before`` ends with a hyphen and ``after`` follows: nothing or a
+    hyphen; None if the word doesn't go on there."""
+    head = LETTERS.match(after.lstrip()) if after else None
+    tail = LAST_LETTERS.search(before)
+    if not head or not tail:
+        return None
+    first, second = tail[0].lower(), head[0].lower()
+    if first + second in known.trusted:
+        return ""
+    if second in APART:
+        return None
+    return "-" if known.counts.get(first, 0) and known.counts.get(second, 0) else ""
 
 
 def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
     """Rows of the lines of one page in order: (uid, doc, page, text, heading, scanned)."""
     last = len(lines) - 1
     edges = {0, 1, last - 1, last}
-    cut_from: tuple[int, str] | None = None
+    cut_from: tuple[int, str, str] | None = None
     for i, (uid, doc, page, text, heading, scanned) in enumerate(lines):
         text = consistent(text or "").strip()
         if not heading and i in edges and page_number(text) is not None:
@@ -199,7 +210,7 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
             yield "line", uid, "edge", doc, page, key
         tokens = _whole(text)
         if cut_from is not None:
-            if _goes_on(text) and not heading:
+            if not heading and _joint(cut_from[2], text, known) is not None:
                 yield "line", cut_from[0], "hyphen", doc, page, None
                 if scanned:
                     for part in _cut_misread(cut_from[1], text.split()[0], known):
@@ -207,15 +218,15 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
                 tokens = tokens[1:]
             cut_from = None
         if not heading and CUT.search(text):
-            cut_from = uid, text.split()[-1][:-1]
+            cut_from = uid, text.split()[-1][:-1], text.split()[-1]
         if scanned and not heading and any(known.misread(t) for t in tokens):
             yield "line", uid, "misread", doc, page, key or None
     if cut_from is not None:
-        yield "line", cut_from[0], "open", doc, page, None
+        yield "line", cut_from[0], "open", doc, page, cut_from[2]
     # What the page begins with, for words cut at the end of the page before; a running header comes first.
-    body = [(t or "").strip() for _, _, _, t, h, _ in lines if not h and page_number(consistent(t or "").strip()) is None]
+    body = [t for t in (consistent(t or "").strip() for _, _, _, t, h, _ in lines if not h) if page_number(t) is None]
     for n, t in enumerate(body[:2] or [""]):
-        yield "line", lines[0][0], "start" if n == 0 else "second", lines[0][1], lines[0][2], t[:40]
+        yield "line", lines[0][0], "start" if n == 0 else "second", lines[0][1], lines[0][2], t[:200]
 
 
 def _cut_misread(first: str, second: str, known: Vocabulary) -> list[int]:
@@ -234,13 +245,11 @@ def _whole(text: str) -> list[str]:
     return tokens[:-1] if tokens and CUT.search(tokens[-1]) else tokens
 
 
-def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: int | None, final: int | None, text: str, known: Vocabulary) -> Iterator[tuple]:
-    """Rows of a section's or an image's text."""
-    lines = [x.strip() for x in consistent(text).split("\n")]
+def _kinds(kind: str, lines: list[str], first: int | None, final: int | None) -> tuple[list[str], list[str]]:
+    """Of each line of a section's or an image's text whether it is a page number or short, and the key of a short one."""
     kinds: list[str] = []
     keys: list[str] = []
-    last = len(lines) - 1
-    for i, line in enumerate(lines):
+    for line in lines:
         n = page_number(line) if line and len(line) <= 24 else None
         if n is not None and line.isalnum() and kind == "section":
             # A bare number is a page's only where the section is.
@@ -248,6 +257,14 @@ def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: in
         key = line_key(line) if n is None and len(line) <= 60 and " | " not in line.replace(" | ", "  ", 1) else ""
         kinds.append("number" if n is not None else "short" if key and len(key.split()) <= 6 else "")
         keys.append(key if kinds[-1] else "")
+    return kinds, keys
+
+
+def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: int | None, final: int | None, text: str, known: Vocabulary) -> Iterator[tuple]:
+    """Rows of a section's or an image's text."""
+    lines = [x.strip() for x in consistent(text).split("\n")]
+    kinds, keys = _kinds(kind, lines, first, final)
+    last = len(lines) - 1
     if "number" in kinds:
         yield kind, uid, "page_number", doc, page, None
     for i, key in enumerate(keys):
@@ -261,7 +278,7 @@ def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: in
             while j <= last and (kinds[j] == "number" or not lines[j] and noise or kinds[j] == "short" and noise):
                 noise = noise or kinds[j] == "number"
                 j += 1
-            if j <= last and _goes_on(lines[j]):
+            if j <= last and _joint(line, lines[j], known) is not None:
                 cut_word = True
     if cut_word:
         yield kind, uid, "hyphen", doc, page, None
@@ -289,14 +306,32 @@ def _titled(lines: list[str], i: int) -> bool:
     return lines[i + 1][:1].isupper()
 
 
-def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, most_words: int = 200_000) -> DataFrame:
-    """Everything one reading of the three tables finds (``ROWS``), before what is known only of whole PDFs."""
-    spark = text_lines.sparkSession
-    heading = (F.coalesce("header_level", F.lit("non_header")) != "non_header") | F.coalesce("is_table_like", F.lit(False)) | F.col("toc_page_number").isNotNull()
-    running = text_lines.where(~heading).select(F.col("text").alias("t"), (F.coalesce("font_name", F.lit("")) != "").alias("p"))
+def _heading() -> Column:
+    """Whether a line of ``text_lines`` is a heading, a table row or a contents line."""
+    return (F.coalesce("header_level", F.lit("non_header")) != "non_header") | F.coalesce("is_table_like", F.lit(False)) | F.col("toc_page_number").isNotNull()
+
+
+def vocabulary(text_lines: DataFrame, sections: DataFrame, images: DataFrame, most_words: int = 200_000) -> Broadcast:
+    """The counts of the words of all running text, for ``Vocabulary``."""
+    running = text_lines.where(~_heading()).select(F.col("text").alias("t"), (F.coalesce("font_name", F.lit("")) != "").alias("p"))
     unknown = F.lit(False).alias("p")
     texts = running.unionByName(sections.select(F.col("text_plain").alias("t"), unknown)).unionByName(images.select(F.col("ocr_text").alias("t"), unknown))
-    counts = spark.sparkContext.broadcast(count_words(texts, "t", "p", most_words))
+    return text_lines.sparkSession.sparkContext.broadcast(count_words(texts, "t", "p", most_words))
+
+
+def _lines(text_lines: DataFrame) -> DataFrame:
+    """Lines with all of document, page and id."""
+    kept = text_lines.where("doc_id is not null and page is not null and line_uid is not null")
+    return kept.select("line_uid", "doc_id", "page", "line_no", "text", _heading().alias("heading"), (F.coalesce("font_name", F.lit("")) == "").alias("scanned"))
+
+
+def _by_page(lines: DataFrame) -> DataFrame:
+    """The lines of each page together and in order."""
+    return lines.repartition("doc_id", "page").sortWithinPartitions("doc_id", "page", "line_no", "line_uid")
+
+
+def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, counts: Broadcast) -> DataFrame:
+    """Everything one reading of the three tables finds (``ROWS``), before what is known only of whole PDFs."""
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Vocabulary(*counts.value)
@@ -326,28 +361,20 @@ def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, mo
 
         return read
 
-    lines = (
-        text_lines.where("doc_id is not null and page is not null and line_uid is not null")
-        .select("line_uid", "doc_id", "page", "line_no", "text", heading.alias("heading"), (F.coalesce("font_name", F.lit("")) == "").alias("scanned"))
-        .repartition("doc_id", "page")
-        .sortWithinPartitions("doc_id", "page", "line_no", "line_uid")
-        .mapInPandas(pages, ROWS)
-    )
+    lines = _by_page(_lines(text_lines)).mapInPandas(pages, ROWS)
     none = F.lit(None).cast("int")
     of_sections = sections.where("section_uid is not null").select("section_uid", "doc_id", none.alias("page"), "page_start", "page_end", "text_plain").mapInPandas(blocks("section"), ROWS)
     of_images = images.where("image_uid is not null").select("image_uid", "doc_id", "page", none.alias("first"), none.alias("final"), "ocr_text").mapInPandas(blocks("image"), ROWS)
     return lines.unionByName(of_sections).unionByName(of_images)
 
 
-def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, share: float = 0.1) -> DataFrame:
-    """record_type, record_id, kind of every record with noise, once each.
+_IDS = ["record_type", "record_id"]
 
-    Null texts have no noise; lines without document, page or id are in no page and are left out, as are sections and images
-    without id; rows repeating an id count once. Empty tables give no rows.
-    """
-    rows = cut(noise_rows(text_lines, sections, images))
+
+def _heads(rows: DataFrame, pages: int, share: float) -> DataFrame:
+    """doc_id, key of the running headers."""
     per_doc = rows.where("kind = 'start'").groupBy("doc_id").agg(F.count_distinct("page").alias("pages"))
-    heads = cut(
+    return cut(
         rows.where("kind = 'edge' and record_type = 'line'")
         .groupBy("doc_id", "key")
         .agg(F.count_distinct("page").alias("n"))
@@ -356,54 +383,218 @@ def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages:
         .where(F.col("n") >= share * F.coalesce("pages", F.lit(0)))
         .select("doc_id", "key")
     )
-    ids = ["record_type", "record_id"]
+
+
+def _headers(rows: DataFrame, heads: DataFrame) -> DataFrame:
+    """record_type, record_id, key of the lines that are running headers; a record may have several."""
     of_pdf = rows.where("kind in ('edge', 'short') and record_type <> 'image'").join(heads, ["doc_id", "key"], "left_semi")
     # A scanned page's own header: a short line of an image, two or more words, all of them words of running headers.
     known = heads.select(F.explode(F.split("key", " ")).alias("w")).distinct()
-    short = rows.where("kind in ('edge', 'short') and record_type = 'image'").select(*ids, "key").distinct()
-    words = short.select(*ids, "key", F.size(F.split("key", " ")).alias("n"), F.explode(F.array_distinct(F.split("key", " "))).alias("w"))
-    of_image = words.join(known, "w").groupBy(*ids, "key").agg(F.count("*").alias("met"), F.max("n").alias("n")).where("n >= 2 and met = n").select(*ids, "key")
-    header = of_pdf.select(*ids).unionByName(of_image.select(*ids)).withColumn("kind", F.lit("header"))
+    short = rows.where("kind in ('edge', 'short') and record_type = 'image'").select(*_IDS, "key").distinct()
+    words = short.select(*_IDS, "key", F.size(F.split("key", " ")).alias("n"), F.explode(F.array_distinct(F.split("key", " "))).alias("w"))
+    of_image = words.join(known, "w").groupBy(*_IDS, "key").agg(F.count("*").alias("met"), F.max("n").alias("n")).where("n >= 2 and met = n")
+    return of_pdf.select(*_IDS, "key").unionByName(of_image.select(*_IDS, "key")).distinct()
+
+
+def _goes_on_over(pairs: DataFrame, counts: Broadcast) -> DataFrame:
+    """``pairs`` (tail, head: the end of a page and the beginning of the next) with their joint, where the word goes on."""
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Vocabulary(*counts.value)
+        for batch in batches:
+            joints = [_joint(a, b, known) for a, b in zip(batch["tail"], batch["head"])]
+            meant = [known.meant(_whole_word(a, b)) if x == "" else None for a, b, x in zip(batch["tail"], batch["head"], joints)]
+            yield batch.assign(joint=joints, meant=meant)[[x is not None for x in joints]]
+
+    return pairs.mapInPandas(decide, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema) + ", joint STRING, meant STRING")
+
+
+def _whole_word(tail: str, head: str) -> str:
+    return LAST_LETTERS.search(tail)[0] + LETTERS.match(head.lstrip())[0]
+
+
+def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, share: float = 0.1) -> DataFrame:
+    """record_type, record_id, kind of every record with noise, once each.
+
+    Null texts have no noise; lines without document, page or id are in no page and are left out, as are sections and images
+    without id; rows repeating an id count once. Empty tables give no rows.
+    """
+    counts = vocabulary(text_lines, sections, images)
+    rows = cut(noise_rows(text_lines, sections, images, counts))
+    heads = _heads(rows, pages, share)
+    headers = cut(_headers(rows, heads))
     # A cut word at a page's end goes on behind the next page's header.
-    starts = rows.where("kind in ('start', 'second')").select("doc_id", (F.col("page") - 1).alias("page"), "kind", F.col("key").alias("text"))
-    goes_on = F.lower(F.regexp_extract("text", r"^\s*(\p{L}+)", 1))
-    across = (
-        rows.where("kind = 'open'")
-        .select(*ids, "doc_id", "page")
-        .join(starts.where((goes_on != "") & ~goes_on.isin(*APART)), ["doc_id", "page"], "left_semi")
-        .select(*ids, F.lit("hyphen").alias("kind"))
-    )
+    starts = rows.where("kind in ('start', 'second')").select("doc_id", (F.col("page") - 1).alias("page"), F.col("key").alias("head"))
+    opened = rows.where("kind = 'open'").select(*_IDS, "doc_id", "page", F.col("key").alias("tail"))
+    across = _goes_on_over(opened.join(starts, ["doc_id", "page"]).select(*_IDS, "tail", "head"), counts).select(*_IDS, F.lit("hyphen").alias("kind"))
     misread = rows.where("kind = 'misread'").join(heads, ["doc_id", "key"], "left_anti")
-    misread = misread.join(of_image, [*ids, "key"], "left_anti").select(*ids, "kind")
-    plain = rows.where("kind in ('hyphen', 'page_number')").select(*ids, "kind")
+    misread = misread.join(headers.where("record_type = 'image'"), [*_IDS, "key"], "left_anti").select(*_IDS, "kind")
+    plain = rows.where("kind in ('hyphen', 'page_number')").select(*_IDS, "kind")
+    header = headers.select(*_IDS, F.lit("header").alias("kind"))
     return plain.unionByName(misread).unionByName(header).unionByName(across).distinct()
 
 
+def _flowed(lines: list[tuple[str, str, bool]], known: Vocabulary) -> list[tuple[bool, list[tuple[str, bool]]]]:
+    """The paragraphs of lines (text, role, scanned): whether each is running text, and its words with whether they were
+    scanned. Lines of the role noise are left out, lines of the role apart stay alone."""
+    out: list[tuple[bool, list[tuple[str, bool]]]] = []
+    body: list[tuple[str, bool]] = []
+    over = False
+
+    def close() -> None:
+        nonlocal body
+        if body:
+            out.append((True, body))
+        body = []
+
+    for text, role, scanned in lines:
+        if role == "noise":
+            over = True
+            continue
+        if not text and over and body and CUT.search(body[-1][0]):
+            continue
+        over = False
+        if not text or role:
+            close()
+            if text:
+                out.append((False, [(t, False) for t in text.split()]))
+            continue
+        tokens = text.split()
+        joint = _joint(body[-1][0], tokens[0], known) if body and CUT.search(body[-1][0]) else None
+        if joint is not None:
+            tail, was = body.pop()
+            body.append((tail[:-1] + joint + tokens[0], was or scanned))
+            tokens = tokens[1:]
+        body += [(t, scanned) for t in tokens]
+    close()
+    return out
+
+
+def _written(paragraph: list[tuple[str, bool]], known: Vocabulary) -> str:
+    return " ".join(_mended(t, known) if scanned else t for t, scanned in paragraph)
+
+
 def repaired(text: str, known: Vocabulary, headers: frozenset[str] = frozenset()) -> str:
     """A page's or section's text as paragraphs: page numbers and lines of the running header (keys in ``headers``) left
     out, lines joined, cut words closed up or kept with their hyphen as the vocabulary knows them, misread words replaced."""
-    out: list[str] = []
-    for part in re.split(r"\n\s*\n", consistent(text)):
-        body = ""
-        for line in (x.strip() for x in part.split("\n")):
-            if not line or page_number(line) is not None or line_key(line) in headers and headers:
-                continue
-            if CUT.search(body) and _goes_on(line):
-                tail, head = re.search(r"[^\W\d_]+(?=.$)", body), LETTERS.match(line)
-                whole = (tail[0] + head[0]).lower() if tail and head else ""
-                split = known.counts.get(tail[0].lower(), 0) and known.counts.get(head[0].lower(), 0) if tail and head else 0
-                body = body[:-1] + ("" if whole in known.trusted or not split else "-") + line
-            else:
-                body += (" " if body else "") + line
-        if body:
-            out.append(LETTERS_OR_DIGITS.sub(lambda m: _mended(m[0], known), body))
-    return "\n\n".join(out)
+    lines = [x.strip() for x in consistent(text).split("\n")]
+    noise = [bool(x) and (page_number(x) is not None or line_key(x) in headers) for x in lines]
+    return "\n\n".join(_written(p, known) for _, p in _flowed([(x, "noise" if n else "", True) for x, n in zip(lines, noise)], known))
+
+
+def _page_text(lines: list[tuple], known: Vocabulary) -> tuple[str, str | None, int, str | None, int, bool]:
+    """The text of a page's lines (uid, doc, page, text, heading, scanned, header, line_no); its first word if it is running text and
+    the length it has there, its last word if it is cut and the length; whether the last was scanned."""
+    last = len(lines) - 1
+    items = []
+    for i, (_, _, _, text, heading, scanned, header, _) in enumerate(lines):
+        text = consistent(text or "").strip()
+        noise = header or not heading and i in {0, 1, last - 1, last} and page_number(text) is not None
+        items.append((text, "noise" if noise else "apart" if heading else "", scanned))
+    flowed = _flowed(items, known)
+    parts = [_written(p, known) for _, p in flowed]
+    words = sum(len(p) for _, p in flowed)
+    head = flowed[0][1][0][0] if words > 1 and flowed[0][0] else None
+    tail, scanned = flowed[-1][1][-1] if flowed and flowed[-1][0] else ("", False)
+    tail = tail if CUT.search(tail) else None
+    return "\n\n".join(parts), head, len(parts[0].split(" ")[0]) if head else 0, tail, len(parts[-1].split(" ")[-1]) if tail else 0, scanned
+
+
+PARAGRAPHS = "record_type STRING, record_id BIGINT, doc_id STRING, page INT, text STRING"
+
+
+def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, share: float = 0.1) -> DataFrame:
+    """The continuous text of every page (without id), section and image: page numbers and running headers left out, lines
+    joined to paragraphs, words cut at a line's or a page's end made whole, misread words of scanned text replaced.
+
+    Headings, contents lines and table rows stay as they are, each by itself. Null texts have no row, nor have records without
+    id or lines without document or page; of rows repeating an id one counts. A word cut at a page's end is moved to that page.
+    """
+    counts = vocabulary(text_lines, sections, images)
+    rows = cut(noise_rows(text_lines, sections, images, counts))
+    headers = cut(_headers(rows, _heads(rows, pages, share)))
+
+    def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Vocabulary(*counts.value)
+        page: list[tuple] = []
+        names = ["doc_id", "page", "text", "head", "head_len", "tail", "tail_len", "scanned"]
+        for batch in batches:
+            out: list[tuple] = []
+            for r in batch.itertuples(index=False, name=None):
+                if page and page[0][1:3] != (r[1], r[2]):
+                    out.append((*page[0][1:3], *_page_text(page, known)))
+                    page = []
+                if not page or page[-1][7] != r[3] or page[-1][0] != r[0]:  # a redelivery follows its line
+                    page.append((r[0], r[1], r[2], r[4], r[5], r[6], r[7], r[3]))
+            yield pd.DataFrame(out, columns=names)
+        if page:
+            yield pd.DataFrame([(*page[0][1:3], *_page_text(page, known))], columns=names)
+
+    def of_blocks(kind: str):
+        def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = Vocabulary(*counts.value)
+            for batch in batches:
+                out: list[tuple] = []
+                for uid, doc, page, first, final, text, keys in batch.itertuples(index=False, name=None):
+                    lines = [x.strip() for x in consistent(text).split("\n")]
+                    kinds, own = _kinds(kind, lines, None if first != first else first, None if final != final else final)
+                    drop = set(keys) if keys is not None else set()
+                    items = []
+                    for i, line in enumerate(lines):
+                        noise = kinds[i] == "number" or bool(own[i]) and own[i] in drop
+                        apart = bool(line) and (" | " in line or _titled(lines, i))
+                        items.append((line, "noise" if noise else "apart" if apart else "", True))
+                    whole = "\n\n".join(_written(p, known) for _, p in _flowed(items, known))
+                    out.append((kind, uid, doc, None if page != page else page, whole))
+                yield pd.DataFrame(out, columns=["record_type", "record_id", "doc_id", "page", "text"])
+
+        return read
+
+    flag = headers.where("record_type = 'line'").select(F.col("record_id").alias("line_uid"), F.lit(True).alias("header")).distinct()
+    lines = _lines(text_lines).join(flag, "line_uid", "left").withColumn("header", F.coalesce("header", F.lit(False)))
+    lines = lines.select("line_uid", "doc_id", "page", "line_no", "text", "heading", "scanned", "header")
+    raw = cut(_by_page(lines).mapInPandas(of_pages, "doc_id STRING, page INT, text STRING, head STRING, head_len INT, tail STRING, tail_len INT, scanned BOOLEAN"))
+    cuts = raw.where("tail is not null").select("doc_id", "page", "tail", "scanned")
+    nexts = raw.where("head is not null").select("doc_id", (F.col("page") - 1).alias("page"), "head")
+    over = cut(_goes_on_over(cuts.join(nexts, ["doc_id", "page"]), counts))
+    ends = over.select("doc_id", "page", "head", "joint", F.when(F.col("scanned"), F.col("meant")).alias("meant"))
+    begins = over.select("doc_id", (F.col("page") + 1).alias("page"), F.lit(True).alias("taken"))
+    # From the right: the cut word is completed; then the page's first word, gone to the page before, is left out.
+    stem = F.expr("left(text, length(text) - tail_len)")
+    rest = F.regexp_extract("head", r"^\p{L}+(.*)$", 1)
+    before = F.regexp_extract("tail", r"^(.*?)\p{L}+.$", 1)
+    cased = F.when(F.substring("tail", 1, 1) == F.lower(F.substring("tail", 1, 1)), F.col("meant")).otherwise(F.initcap("meant"))
+    whole = F.when(F.col("meant").isNotNull(), F.concat(before, cased, rest)).otherwise(F.concat(F.expr("left(tail, length(tail) - 1)"), "joint", "head"))
+    text = F.when(F.col("joint").isNotNull(), F.concat(stem, whole)).otherwise(F.col("text"))
+    joined = raw.drop("head", "scanned").join(ends, ["doc_id", "page"], "left").join(begins, ["doc_id", "page"], "left")
+    of_page = (
+        joined.select("doc_id", "page", text.alias("t"), "head_len", "taken")
+        .withColumn("text", F.when(F.col("taken"), F.regexp_replace(F.expr("substring(t, head_len + 1)"), r"^\s+", "")).otherwise(F.col("t")))
+        .select(F.lit("page").alias("record_type"), F.lit(None).cast("bigint").alias("record_id"), "doc_id", "page", "text")
+    )
+    keys = headers.groupBy(*_IDS).agg(F.collect_set("key").alias("keys"))
+
+    def blocks(df: DataFrame, kind: str, uid: str, text: str, page: Column, first: Column, final: Column) -> DataFrame:
+        one = df.where(F.col(uid).isNotNull() & F.col(text).isNotNull()).groupBy(F.col(uid).alias("record_id"))
+        one = one.agg(F.max(F.struct(F.col(text).alias("t"), F.col("doc_id").alias("d"), page.alias("p"), first.alias("a"), final.alias("b"))).alias("x"))
+        own = keys.where(F.col("record_type") == kind).select("record_id", "keys")
+        return one.join(own, "record_id", "left").select("record_id", "x.d", "x.p", "x.a", "x.b", "x.t", "keys").mapInPandas(of_blocks(kind), PARAGRAPHS)
+
+    none = F.lit(None).cast("int")
+    of_section = blocks(sections, "section", "section_uid", "text_plain", none, F.col("page_start"), F.col("page_end"))
+    of_image = blocks(images, "image", "image_uid", "ocr_text", F.col("page"), none, none)
+    return of_page.unionByName(of_section).unionByName(of_image)
 
 
 LETTERS_OR_DIGITS = re.compile(r"[^\W_]+")
 
 
-def _mended(word: str, known: Vocabulary) -> str:
+def _mended(token: str, known: Vocabulary) -> str:
+    """A token of running text with its misread words replaced."""
+    return LETTERS_OR_DIGITS.sub(lambda m: _mended_word(m[0], known), token) if known.misread(token) else token
+
+
+def _mended_word(word: str, known: Vocabulary) -> str:
     meant = None if CODE.match(word) or len(word) < 2 or not LETTERS.search(word) else known.meant(word)
     if meant is None:
         return word

@@ -56,3 +56,30 @@ def test_repair():
     known = Q.Vocabulary({"pressure": 90, "drops": 50, "left": 40, "hand": 40, "left-hand": 0, "valve": 70, "the": 900}, {})
     text = "the pres-\nsure drops\n- 4 -\nNorrin Curtain\nthe left-\nhand va1ve\n\nthe end"
     assert Q.repaired(text, known, frozenset({Q.line_key("Norrin Curtain")})) == "the pressure drops the left-hand valve\n\nthe end"
+
+
+def test_paragraphs(spark):
+    got = {(r.record_type, r.record_id, r.doc_id, r.page): r.text for r in Q.paragraphs(*tables(spark)).collect()}
+    assert {k[3] for k in got if k[0] == "page" and k[2] == "d"} == {0, 1, 2, 3}
+    pages = [got["page", None, "d", n] for n in range(4)]
+    assert not any("Norrin" in t or "N0rrin" in t or t.endswith("-") for t in pages)
+    assert "low- and high-speed" in pages[0] and "must be closed at night" in pages[0]
+    assert "Care of the pump and of the valve" in pages[1]
+    assert got["section", 1, "d", None].endswith("and the pressure drops.") and "- 2 -" not in got["section", 1, "d", None]
+    assert got["image", 1, "d", 9] == "the rear valve with a soft cloth."
+    assert ("section", 2, "d", None) not in got
+    assert Q.paragraphs(*(t.limit(0) for t in tables(spark))).count() == 0
+
+
+def test_paragraphs_over_pages(spark):
+    words = "the motor and the pump have a res or"
+    lines = [(i, "w", 0, i, words + " motor motor", "non_header", False, None, "f") for i in range(6)]
+    texts = [(1, 0, "Close the mot-"), (1, 1, "3"), (2, 0, "or and the valve"), (2, 1, "must be left-"), (3, 0, "and right-hand")]
+    lines += [(100 + i, "x", p, n, t, "non_header", False, None, "") for i, (p, n, t) in enumerate(texts)]
+    df = spark.createDataFrame(lines, LINES)
+    none = [t.limit(0) for t in tables(spark)[1:]]
+    got = {r.page: r.text for r in Q.paragraphs(df, *none).where("doc_id = 'x'").collect()}
+    assert got == {1: "Close the motor", 2: "and the valve must be left-", 3: "and right-hand"}
+    # A conjunction that completes a known word goes on with it; without the vocabulary it never did.
+    kinds = {(r.record_id, r.kind) for r in Q.found(df, *none).collect()}
+    assert (100, "hyphen") in kinds and (103, "hyphen") not in kinds
