@@ -6,7 +6,7 @@
    line there that holds only a page number is noise, any other is kept under the shape of its words, in sorted order.
 3. *Headers*: a shape met at the edges of at least two pages of its PDF, and of a tenth of them, is its running header;
    lines of sections and images of that shape are the header, too. Case, order, separators, page numbers and misread
-   characters don't matter. An image is a page by itself: its header is a short line made of words of running headers.
+   characters don't matter; lines of a PDF whose shapes differ by a letter or two in one word count as one. An image is a page by itself: its header is a short line made of words of running headers.
 4. *Cut words*: a line's last word with a hyphen goes on in the next line of the text, over page numbers and headers. The
    vocabulary decides how: a known whole is closed up; else a conjunction is kept apart ("left- and right-hand"), two
    known words keep their hyphen and anything else is closed up. ``found`` and ``paragraphs`` share this rule.
@@ -371,18 +371,38 @@ def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, co
 _IDS = ["record_type", "record_id"]
 
 
+def _forms(keys: DataFrame) -> DataFrame:
+    """doc_id, key, form of the lines' keys (doc_id, key): a key is a form of itself, and where two keys of a PDF differ in
+    one word of five letters or more (eight where it is the only one), that word without any one letter or whole is one.
+
+    Near keys share a form, so pages are counted by form and no two keys are compared.
+    """
+    keys = keys.distinct()
+    words = keys.select("doc_id", "key", F.split("key", " ").alias("ws")).select("doc_id", "key", "ws", F.posexplode("ws").alias("i", "w"))
+    rest = F.concat_ws(" ", F.expr("filter(ws, (x, j) -> j <> i)"))
+    one_out = words.select("doc_id", "key", "w", rest.alias("rest")).where("length(w) >= 5 and (rest <> '' or length(w) >= 8)")
+    shared = one_out.groupBy("doc_id", "rest").agg(F.count_distinct("key").alias("n")).where("n > 1").select("doc_id", "rest")
+    parts = F.expr("transform(sequence(0, length(w)), i -> concat(rest, '|', left(w, i), substring(w, i + 2)))")
+    near = one_out.join(shared, ["doc_id", "rest"], "left_semi").select("doc_id", "key", F.explode(parts).alias("form"))
+    return keys.select("doc_id", "key", F.col("key").alias("form")).unionByName(near).distinct()
+
+
 def _heads(rows: DataFrame, pages: int, share: float) -> DataFrame:
-    """doc_id, key of the running headers."""
+    """doc_id, key of the running headers, with keys near them."""
     per_doc = rows.where("kind = 'start'").groupBy("doc_id").agg(F.count_distinct("page").alias("pages"))
-    return cut(
+    forms = cut(_forms(rows.where("kind in ('edge', 'short') and record_type <> 'image' and doc_id is not null").select("doc_id", "key")))
+    met = (
         rows.where("kind = 'edge' and record_type = 'line'")
-        .groupBy("doc_id", "key")
+        .select("doc_id", "key", "page")
+        .distinct()
+        .join(forms, ["doc_id", "key"])
+        .groupBy("doc_id", "form")
         .agg(F.count_distinct("page").alias("n"))
         .where(F.col("n") >= pages)
         .join(per_doc, "doc_id", "left")
         .where(F.col("n") >= share * F.coalesce("pages", F.lit(0)))
-        .select("doc_id", "key")
     )
+    return cut(forms.join(met.select("doc_id", "form"), ["doc_id", "form"], "left_semi").select("doc_id", "key").distinct())
 
 
 def _headers(rows: DataFrame, heads: DataFrame) -> DataFrame:

@@ -83,3 +83,13 @@ def test_paragraphs_over_pages(spark):
     # A conjunction that completes a known word goes on with it; without the vocabulary it never did.
     kinds = {(r.record_id, r.kind) for r in Q.found(df, *none).collect()}
     assert (100, "hyphen") in kinds and (103, "hyphen") not in kinds
+
+
+def test_headers_with_misread_letters_meet(spark):
+    texts = [("q", 0, "Quillbeck / Sterihzer / 1"), ("q", 1, "Quillbeck / Sterilizer / 2"), ("o", 0, "1 O5kvale Sterihzer"), ("o", 1, "O5kvale Sterilizer 2"), ("o", 2, "Oskvale Sterilizer")]
+    texts += [("u", 0, "Upper pump housing"), ("u", 1, "Lower valve housing"), ("v", 0, "Rear pumps"), ("v", 1, "Rear plugs")]
+    lines = [(i, d, p, 0, t, "non_header", False, None, "") for i, (d, p, t) in enumerate(texts)]
+    lines += [(100 + 10 * i + n, d, p, n, b, "non_header", False, None, "") for i, (d, p, _) in enumerate(texts) for n, b in enumerate(BODY, 1)]
+    sections = spark.createDataFrame([(1, "q", 1, 2, "Inspect the pump.\nQuillbeck Sterillzcr\n" + BODY[1]), (2, "v", 1, 2, "Inspect the pump.\nRear pumps\n" + BODY[1])], SECTIONS)
+    got = {(r.record_type, r.record_id) for r in Q.found(spark.createDataFrame(lines, LINES), sections, tables(spark)[2].limit(0)).where("kind = 'header'").collect()}
+    assert got == {("line", i) for i in range(5)} | {("section", 1)}
