@@ -4,8 +4,8 @@
    trusted; a word is misread if it isn't trusted itself but a trusted word has its scanner's shape.
 2. *Pages*: lines are brought together by page and read in order. A page's first and last two lines are its edges; a
    line there that holds only a page number is noise, any other is kept under the shape of its words, in sorted order.
-3. *Headers*: a shape met at the edges of at least two pages of its PDF, and of a tenth of them, is its running header;
-   lines of sections and images of that shape are the header, too. Case, order, separators, page numbers and misread
+3. *Headers*: a shape met at the edges of at least two pages of its PDF, and inside no more pages than that, is its running
+   header, however long the PDF is; lines of sections and images of that shape are the header, too. Case, order, separators, page numbers and misread
    characters don't matter; lines of a PDF whose shapes differ by a letter or two in one word count as one. An image is a page by itself: its header is a short line made of words of running headers.
 4. *Cut words*: a line's last word with a hyphen goes on in the next line of the text, over page numbers and headers. The
    vocabulary decides how: a known whole is closed up; else a conjunction is kept apart ("left- and right-hand"), two
@@ -205,9 +205,10 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
         if not heading and i in edges and page_number(text) is not None:
             yield "line", uid, "page_number", doc, page, None
             continue
-        key = line_key(text) if i in edges and not heading else ""
+        key = line_key(text) if not heading else ""
         if key:
-            yield "line", uid, "edge", doc, page, key
+            yield "line", uid, "edge" if i in edges else "inner", doc, page, key
+        key = key if i in edges else ""
         tokens = _whole(text)
         if cut_from is not None:
             if not heading and _joint(cut_from[2], text, known) is not None:
@@ -387,9 +388,9 @@ def _forms(keys: DataFrame) -> DataFrame:
     return keys.select("doc_id", "key", F.col("key").alias("form")).unionByName(near).distinct()
 
 
-def _heads(rows: DataFrame, pages: int, share: float) -> DataFrame:
-    """doc_id, key of the running headers, with keys near them."""
-    per_doc = rows.where("kind = 'start'").groupBy("doc_id").agg(F.count_distinct("page").alias("pages"))
+def _heads(rows: DataFrame, pages: int) -> DataFrame:
+    """doc_id, key of the running headers, with keys near them. A line that its PDF repeats inside more pages than at edges
+    belongs to the text."""
     forms = cut(_forms(rows.where("kind in ('edge', 'short') and record_type <> 'image' and doc_id is not null").select("doc_id", "key")))
     met = (
         rows.where("kind = 'edge' and record_type = 'line'")
@@ -399,10 +400,10 @@ def _heads(rows: DataFrame, pages: int, share: float) -> DataFrame:
         .groupBy("doc_id", "form")
         .agg(F.count_distinct("page").alias("n"))
         .where(F.col("n") >= pages)
-        .join(per_doc, "doc_id", "left")
-        .where(F.col("n") >= share * F.coalesce("pages", F.lit(0)))
     )
-    return cut(forms.join(met.select("doc_id", "form"), ["doc_id", "form"], "left_semi").select("doc_id", "key").distinct())
+    heads = forms.join(met, ["doc_id", "form"]).groupBy("doc_id", "key").agg(F.max("n").alias("n"))
+    inner = rows.where("kind = 'inner'").groupBy("doc_id", "key").agg(F.count_distinct("page").alias("inside"))
+    return cut(heads.join(inner, ["doc_id", "key"], "left").where("coalesce(inside, 0) <= n").select("doc_id", "key"))
 
 
 def _headers(rows: DataFrame, heads: DataFrame) -> DataFrame:
@@ -433,7 +434,7 @@ def _whole_word(tail: str, head: str) -> str:
     return LAST_LETTERS.search(tail)[0] + LETTERS.match(head.lstrip())[0]
 
 
-def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, share: float = 0.1) -> DataFrame:
+def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2) -> DataFrame:
     """record_type, record_id, kind of every record with noise, once each.
 
     Null texts have no noise; lines without document, page or id are in no page and are left out, as are sections and images
@@ -441,7 +442,7 @@ def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages:
     """
     counts = vocabulary(text_lines, sections, images)
     rows = cut(noise_rows(text_lines, sections, images, counts))
-    heads = _heads(rows, pages, share)
+    heads = _heads(rows, pages)
     headers = cut(_headers(rows, heads))
     # A cut word at a page's end goes on behind the next page's header.
     starts = rows.where("kind in ('start', 'second')").select("doc_id", (F.col("page") - 1).alias("page"), F.col("key").alias("head"))
@@ -523,7 +524,7 @@ def _page_text(lines: list[tuple], known: Vocabulary) -> tuple[str, str | None,
 PARAGRAPHS = "record_type STRING, record_id BIGINT, doc_id STRING, page INT, text STRING"
 
 
-def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, share: float = 0.1) -> DataFrame:
+def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2) -> DataFrame:
     """The continuous text of every page (without id), section and image: page numbers and running headers left out, lines
     joined to paragraphs, words cut at a line's or a page's end made whole, misread words of scanned text replaced.
 
@@ -532,7 +533,7 @@ def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pa
     """
     counts = vocabulary(text_lines, sections, images)
     rows = cut(noise_rows(text_lines, sections, images, counts))
-    headers = cut(_headers(rows, _heads(rows, pages, share)))
+    headers = cut(_headers(rows, _heads(rows, pages)))
 
     def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Vocabulary(*counts.value)

@@ -93,3 +93,18 @@ def test_headers_with_misread_letters_meet(spark):
     sections = spark.createDataFrame([(1, "q", 1, 2, "Inspect the pump.\nQuillbeck Sterillzcr\n" + BODY[1]), (2, "v", 1, 2, "Inspect the pump.\nRear pumps\n" + BODY[1])], SECTIONS)
     got = {(r.record_type, r.record_id) for r in Q.found(spark.createDataFrame(lines, LINES), sections, tables(spark)[2].limit(0)).where("kind = 'header'").collect()}
     assert got == {("line", i) for i in range(5)} | {("section", 1)}
+
+
+def test_headers_of_long_pdfs(spark):
+    lines, uid, want = [], 0, set()
+    for page in range(40):
+        # A chapter's header on three pages of forty; a line of the text that now and then stands at an edge.
+        head = "Chapter on rear valves" if page in (10, 12, 20) else f"{BODY[0]} and {page}"
+        text = [head, *BODY, "press the green button", *BODY, "press the green button" if page in (5, 6) else BODY[2]]
+        for n, t in enumerate(text):
+            lines.append((uid, "long", page, n, t, "non_header", False, None, ""))
+            if t == "Chapter on rear valves":
+                want.add(uid)
+            uid += 1
+    got = {r.record_id for r in Q.found(spark.createDataFrame(lines, LINES), *(t.limit(0) for t in tables(spark)[1:])).where("kind = 'header'").collect()}
+    assert got == want
