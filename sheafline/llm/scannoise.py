@@ -11,7 +11,8 @@
    vocabulary decides how: a known whole is closed up; else a conjunction is kept apart ("left- and right-hand"), two
    known words keep their hyphen and anything else is closed up. ``found`` and ``paragraphs`` share this rule.
 5. *Paragraphs*: what is left of every page, section and image is joined, also over the border of two pages.
-The vocabulary that reaches the driver is bounded by ``most_words``; a word beyond it is only known through its shape.
+Of the vocabulary, judged as a whole in Spark, the ``most_words`` most frequent words are broadcast. If there are more, what
+a record needs to know of the rest is asked for first and joined to it, so the bound changes no result.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sheafline.llm.lookalikes import CROSS, INVISIBLE
 from sheafline.session import cut
@@ -91,6 +92,16 @@ def page_number(line: str) -> str | None:
     return n[0].translate(str.maketrans("lIoO", "1100"))
 
 
+def tries(word: str) -> list[str]:
+    """The shapes of what a scanner may have turned into ``word`` (lower case), the likeliest first."""
+    out = [shape(word)]
+    if "h" in word:
+        out += [shape(word[:i] + "li" + word[i + 1 :]) for i, c in enumerate(word) if c == "h"]
+    if "6" in word:
+        out += [shape(word.replace("6", c)) for c in "oe"]
+    return out
+
+
 class Vocabulary:
     """Counts of words, which of them are trusted, and the trusted word of each shape.
 
@@ -108,21 +119,49 @@ class Vocabulary:
             w for w, n in counts.items() if n >= least and (n * ratio >= counts[best[shape(w)]] or printed.get(w, 0) * ratio >= max(n, least * ratio))
         }
         self.of_shape = {s: w for s, w in best.items() if counts[w] >= least}
+        self._ready(counts, True)
+
+    def _ready(self, counts: dict[str, int], complete: bool) -> None:
         self.counts = counts
+        self.complete = complete
+        self.answers: dict[str, tuple[int, bool, str | None]] = {}
+        self.asked: set[str] = set()
+        self.unsure = False
         self.fine: set[str] = set()
         self.bad: set[str] = set()
 
+    @classmethod
+    def of(cls, frequent: list[tuple[str, int, bool, bool]], complete: bool) -> Vocabulary:
+        """From the judged (word, n, trusted, best) of the most frequent words; unless these are ``complete``, words it can't
+        tell are looked up in ``answers`` and noted in ``asked``."""
+        self = cls.__new__(cls)
+        self.trusted = {w for w, _, trusted, _ in frequent if trusted}
+        self.of_shape = {shape(w): w for w, _, trusted, best in frequent if best and trusted}
+        self._ready({w: n for w, n, _, _ in frequent}, complete)
+        return self
+
+    def _answer(self, word: str) -> tuple[int, bool, str | None]:
+        self.unsure = True
+        if word not in self.answers:
+            self.asked.add(word)
+        return self.answers.get(word, (0, False, None))
+
+    def is_trusted(self, word: str) -> bool:
+        return word in self.trusted or not self.complete and word not in self.counts and self._answer(word)[1]
+
+    def count(self, word: str) -> int:
+        return self.counts[word] if word in self.counts else 0 if self.complete else self._answer(word)[0]
+
     def meant(self, word: str) -> str | None:
         """The trusted word that a scanner has turned into ``word``; None if it is trusted or nothing fits."""
         w = word.lower()
         if w in self.trusted or not LETTERS.search(w):
             return None
-        tries = [shape(w)]
-        if "h" in w:
-            tries += [shape(w[:i] + "li" + w[i + 1 :]) for i, c in enumerate(w) if c == "h"]
-        if "6" in w:
-            tries += [shape(w.replace("6", c)) for c in "oe"]
-        for s in tries:
+        if not self.complete:
+            # Frequent and not trusted: its shape's best word is more frequent still.
+            o = self.of_shape.get(shape(w)) if w in self.counts else None
+            return o if o is not None and o != w else self._answer(w)[2]
+        for s in tries(w):
             o = self.of_shape.get(s)
             if o is not None and o != w and o in self.trusted:
                 return o
@@ -134,9 +173,12 @@ class Vocabulary:
             return False
         if token in self.bad:
             return True
+        self.unsure = False
         bare = token.strip(ENDS)
         parts = [] if CODE.match(bare) else re.split(r"['’/\-‐‑–]", bare)
         found = any(len(p) >= 2 and not CODE.match(p) and not ODD.search(p) and self.meant(p) for p in (x.strip(ENDS) for x in parts))
+        if self.unsure:
+            return found
         # Tokens with a code repeat seldom: keeping them would only fill the memory.
         keep = self.bad if found else self.fine
         if len(keep) > 500_000:
@@ -145,8 +187,8 @@ class Vocabulary:
         return found
 
 
-def count_words(texts: DataFrame, text: str, printed: str, most_words: int = 200_000) -> tuple[dict[str, int], dict[str, int]]:
-    """Counts of the ``most_words`` most frequent words (letters only, two or more, lower-cased) of a column, over all rows
+def count_words(texts: DataFrame, text: str, printed: str) -> DataFrame:
+    """word, n, p: counts of the words (letters only, two or more, lower-cased) met twice or more in a column, over all rows
     and over those where ``printed`` is true."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,12 +214,73 @@ def count_words(texts: DataFrame, text: str, printed: str, most_words: int = 200
         yield rows()
 
     counted = texts.select(text, printed).mapInPandas(count, "word STRING, n BIGINT, printed BIGINT").groupBy("word")
-    rows = counted.agg(F.sum("n").alias("n"), F.sum("printed").alias("p")).where("n > 1").orderBy(F.desc("n"), "word").limit(most_words).collect()
-    return {r["word"]: r["n"] for r in rows}, {r["word"]: r["p"] for r in rows if r["p"]}
+    return counted.agg(F.sum("n").alias("n"), F.sum("printed").alias("p")).where("n > 1")
+
+
+def judged(counts: DataFrame, least: int = 3, ratio: int = 10) -> DataFrame:
+    """word, n, shape, trusted, best of ``counts`` by the rules of ``Vocabulary``."""
+    shaped = counts.mapInPandas(lambda batches: (b.assign(shape=[shape(w) for w in b["word"]]) for b in batches), "word STRING, n BIGINT, p BIGINT, shape STRING")
+    best = F.max(F.struct("n", "word")).over(Window.partitionBy("shape"))
+    trusted = F.expr(f"n >= {least} and (n * {ratio} >= b.n or p * {ratio} >= greatest(n, {least * ratio}))")
+    return shaped.withColumn("b", best).select("word", "n", "shape", trusted.alias("trusted"), (F.col("word") == F.col("b.word")).alias("best"))
+
+
+class Book:
+    """The whole vocabulary: its most frequent words as a broadcast, all as a DataFrame."""
+
+    def __init__(self, words: DataFrame, most_words: int) -> None:
+        self.words = words
+        rows = words.orderBy(F.desc("n"), "word").limit(most_words + 1).collect()
+        self.complete = len(rows) <= most_words
+        frequent = [(r["word"], r["n"], r["trusted"], r["best"]) for r in rows[:most_words]]
+        self.sent: Broadcast = words.sparkSession.sparkContext.broadcast((frequent, self.complete))
+
+    def answers(self, words: DataFrame) -> DataFrame:
+        """word and, as one string, its count, whether it is trusted and the trusted word meant by it."""
+
+        def shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield pd.DataFrame([(w, i, x) for w in batch["word"] for i, x in enumerate(tries(w))], columns=["word", "i", "shape"])
+
+        words = words.select("word").distinct()
+        best = self.words.where("best and trusted").select("shape", F.col("word").alias("o"))
+        meant = words.mapInPandas(shapes, "word STRING, i INT, shape STRING").join(best, "shape").where("o <> word").groupBy("word").agg(F.min_by("o", "i").alias("o"))
+        own = words.join(self.words.select("word", "n", "trusted"), "word", "left").join(meant, "word", "left")
+        line = F.concat_ws("\t", "word", F.coalesce("n", F.lit(0)), F.coalesce("trusted", F.lit(False)), F.when(F.coalesce("trusted", F.lit(False)), "").otherwise(F.coalesce("o", F.lit(""))))
+        return own.select("word", line.alias("line"))
+
+    def read(self, df: DataFrame, keys: list[str], units: Callable, work: Callable, schema: str, arrange: Callable = lambda df: df) -> DataFrame:
+        """The rows that ``work`` (unit, vocabulary) gives of each unit of ``df``; ``units`` makes units, lists of rows with the
+        same ``keys``, of an iterator of rows. Words that aren't broadcast are asked for by unit and answered first."""
+        sent, names, at, width = self.sent, [c.split()[0] for c in schema.split(", ")], [df.columns.index(k) for k in keys], len(df.columns)
+
+        def run(ask: bool) -> Callable:
+            def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                known = Vocabulary.of(*sent.value)
+                columns = [*keys, "word"] if ask else names
+                out: list[tuple] = []
+                for unit in units(r for b in batches for r in b.itertuples(index=False, name=None)):
+                    answers = unit[0][width] if len(unit[0]) > width else None
+                    known.answers = {} if answers is None else {w: (int(n), t == "true", m or None) for w, n, t, m in (x.split("\t") for x in answers)}
+                    known.asked = set()
+                    rows = list(work(unit if len(unit[0]) == width else [r[:width] for r in unit], known))
+                    out += [(*(unit[0][i] for i in at), w) for w in known.asked] if ask else rows
+                    if len(out) > 20_000:
+                        yield pd.DataFrame(out, columns=columns)
+                        out = []
+                yield pd.DataFrame(out, columns=columns)
+
+            return read
+
+        if self.complete:
+            return arrange(df).mapInPandas(run(False), schema)
+        kinds = dict(df.dtypes)
+        asked = cut(arrange(df).mapInPandas(run(True), ", ".join(f"{k} {kinds[k]}" for k in keys) + ", word STRING").distinct())
+        told = asked.join(self.answers(asked), "word").groupBy(*keys).agg(F.collect_set("line").alias("answers"))
+        return arrange(df.join(told, keys, "left").select(*df.columns, "answers")).mapInPandas(run(False), schema)
 
 
 ROWS = "record_type STRING, record_id BIGINT, kind STRING, doc_id STRING, page INT, key STRING"
-_NAMES = ["record_type", "record_id", "kind", "doc_id", "page", "key"]
 
 
 def _joint(before: str, after: str | None, known: Vocabulary) -> str | None:
@@ -188,11 +291,12 @@ def _joint(before: str, after: str | None, known: Vocabulary) -> str | None:
     if not head or not tail:
         return None
     first, second = tail[0].lower(), head[0].lower()
-    if first + second in known.trusted:
+    if known.is_trusted(first + second):
         return ""
     if second in APART:
         return None
-    return "-" if known.counts.get(first, 0) and known.counts.get(second, 0) else ""
+    met = known.count(first), known.count(second)  # both, as a word is only asked for when it is looked up
+    return "-" if all(met) else ""
 
 
 def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
@@ -217,6 +321,8 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
                     for part in _cut_misread(cut_from[1], text.split()[0], known):
                         yield "line", (cut_from[0], uid)[part], "misread", doc, page, None
                 tokens = tokens[1:]
+            elif text and not known.complete:
+                _cut_misread(cut_from[1], text.split()[0], known)  # asks
             cut_from = None
         if not heading and CUT.search(text):
             cut_from = uid, text.split()[-1][:-1], text.split()[-1]
@@ -233,7 +339,7 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
 def _cut_misread(first: str, second: str, known: Vocabulary) -> list[int]:
     """Which halves (0, 1) of a cut word are misread."""
     first, second = first.split("-")[-1], second.strip(ENDS)
-    meant = known.meant(first + second) if LETTERS.search(first) and first + second not in known.trusted else None
+    meant = known.meant(first + second) if LETTERS.search(first) else None
     if meant is None or f"{first}-{second}".lower() in known.trusted:
         return []
     at_first, at_second = not meant.startswith(first.lower()), not meant.endswith(second.lower())
@@ -312,12 +418,12 @@ def _heading() -> Column:
     return (F.coalesce("header_level", F.lit("non_header")) != "non_header") | F.coalesce("is_table_like", F.lit(False)) | F.col("toc_page_number").isNotNull()
 
 
-def vocabulary(text_lines: DataFrame, sections: DataFrame, images: DataFrame, most_words: int = 200_000) -> Broadcast:
-    """The counts of the words of all running text, for ``Vocabulary``."""
+def vocabulary(text_lines: DataFrame, sections: DataFrame, images: DataFrame, most_words: int = 200_000) -> Book:
+    """The words of all running text."""
     running = text_lines.where(~_heading()).select(F.col("text").alias("t"), (F.coalesce("font_name", F.lit("")) != "").alias("p"))
     unknown = F.lit(False).alias("p")
     texts = running.unionByName(sections.select(F.col("text_plain").alias("t"), unknown)).unionByName(images.select(F.col("ocr_text").alias("t"), unknown))
-    return text_lines.sparkSession.sparkContext.broadcast(count_words(texts, "t", "p", most_words))
+    return Book(cut(judged(count_words(texts, "t", "p"))), most_words)
 
 
 def _lines(text_lines: DataFrame) -> DataFrame:
@@ -331,42 +437,46 @@ def _by_page(lines: DataFrame) -> DataFrame:
     return lines.repartition("doc_id", "page").sortWithinPartitions("doc_id", "page", "line_no", "line_uid")
 
 
-def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, counts: Broadcast) -> DataFrame:
+def _pages(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """The lines (uid, doc, page, line_no, ...) of each page."""
+    page: list[tuple] = []
+    for r in rows:
+        if page and page[0][1:3] != r[1:3]:
+            yield page
+            page = []
+        if not page or page[-1][3] != r[3] or page[-1][0] != r[0]:  # a redelivery follows its line
+            page.append(r)
+    if page:
+        yield page
+
+
+def _each(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    return ([r] for r in rows)
+
+
+def _given(x: float | None) -> int | None:
+    return None if x is None or x != x else int(x)
+
+
+def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, book: Book) -> DataFrame:
     """Everything one reading of the three tables finds (``ROWS``), before what is known only of whole PDFs."""
 
-    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Vocabulary(*counts.value)
-        page: list[tuple] = []
-        for batch in batches:
-            rows: list[tuple] = []
-            for r in batch.itertuples(index=False, name=None):
-                uid, doc, number, line_no, text, heading, scanned = r
-                if page and page[0][1:3] != (doc, number):
-                    rows += _page_rows([p[:6] for p in page], known)
-                    page = []
-                if not page or page[-1][6] != line_no or page[-1][0] != uid:  # a redelivery follows its line
-                    page.append((uid, doc, number, text, heading, scanned, line_no))
-            yield pd.DataFrame(rows, columns=_NAMES)
-        if page:
-            yield pd.DataFrame(list(_page_rows([p[:6] for p in page], known)), columns=_NAMES)
-
-    def blocks(kind: str):
-        def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known = Vocabulary(*counts.value)
-            for batch in batches:
-                rows: list[tuple] = []
-                for uid, doc, page, first, final, text in batch.itertuples(index=False, name=None):
-                    if text:
-                        rows += _text_rows(kind, uid, doc, None if page != page else page, None if first != first else first, None if final != final else final, text, known)
-                yield pd.DataFrame(rows, columns=_NAMES)
+    def page(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
+        return _page_rows([(*r[:3], *r[4:]) for r in unit], known)
+
+    def block(kind: str) -> Callable:
+        def work(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
+            uid, doc, page, first, final, text = unit[0]
+            return _text_rows(kind, uid, doc, _given(page), _given(first), _given(final), text, known)
 
-        return read
+        return work
 
-    lines = _by_page(_lines(text_lines)).mapInPandas(pages, ROWS)
+    lines = book.read(_lines(text_lines), ["doc_id", "page"], _pages, page, ROWS, _by_page)
     none = F.lit(None).cast("int")
-    of_sections = sections.where("section_uid is not null").select("section_uid", "doc_id", none.alias("page"), "page_start", "page_end", "text_plain").mapInPandas(blocks("section"), ROWS)
-    of_images = images.where("image_uid is not null").select("image_uid", "doc_id", "page", none.alias("first"), none.alias("final"), "ocr_text").mapInPandas(blocks("image"), ROWS)
-    return lines.unionByName(of_sections).unionByName(of_images)
+    of_sections = sections.where("section_uid is not null and text_plain <> ''").select("section_uid", "doc_id", none.alias("page"), "page_start", "page_end", "text_plain")
+    of_images = images.where("image_uid is not null and ocr_text <> ''").select("image_uid", "doc_id", "page", none.alias("first"), none.alias("final"), "ocr_text")
+    of_sections = book.read(of_sections, ["section_uid"], _each, block("section"), ROWS)
+    return lines.unionByName(of_sections).unionByName(book.read(of_images, ["image_uid"], _each, block("image"), ROWS))
 
 
 _IDS = ["record_type", "record_id"]
@@ -417,37 +527,42 @@ def _headers(rows: DataFrame, heads: DataFrame) -> DataFrame:
     return of_pdf.select(*_IDS, "key").unionByName(of_image.select(*_IDS, "key")).distinct()
 
 
-def _goes_on_over(pairs: DataFrame, counts: Broadcast) -> DataFrame:
-    """``pairs`` (tail, head: the end of a page and the beginning of the next) with their joint, where the word goes on."""
+def _goes_on_over(pairs: DataFrame, book: Book) -> DataFrame:
+    """``pairs`` (tail, head: the end of a page and the beginning of the next, and others) with their joint and the word meant
+    by a whole that is misread, where the word goes on."""
 
-    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Vocabulary(*counts.value)
-        for batch in batches:
-            joints = [_joint(a, b, known) for a, b in zip(batch["tail"], batch["head"])]
-            meant = [known.meant(_whole_word(a, b)) if x == "" else None for a, b, x in zip(batch["tail"], batch["head"], joints)]
-            yield batch.assign(joint=joints, meant=meant)[[x is not None for x in joints]]
+    names = pairs.columns
+    a, b = names.index("tail"), names.index("head")
+
+    def decide(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
+        tail, head = unit[0][a], unit[0][b]
+        joint = _joint(tail, head, known)
+        if joint is not None:
+            whole = known.meant(_whole_word(tail, head))
+            yield *unit[0], joint, whole if joint == "" else None
 
-    return pairs.mapInPandas(decide, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema) + ", joint STRING, meant STRING")
+    schema = ", ".join(f"{c} {t}" for c, t in pairs.dtypes) + ", joint STRING, meant STRING"
+    return book.read(pairs, ["tail", "head"], _each, decide, schema)
 
 
 def _whole_word(tail: str, head: str) -> str:
     return LAST_LETTERS.search(tail)[0] + LETTERS.match(head.lstrip())[0]
 
 
-def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2) -> DataFrame:
+def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, most_words: int = 200_000) -> DataFrame:
     """record_type, record_id, kind of every record with noise, once each.
 
     Null texts have no noise; lines without document, page or id are in no page and are left out, as are sections and images
     without id; rows repeating an id count once. Empty tables give no rows.
     """
-    counts = vocabulary(text_lines, sections, images)
-    rows = cut(noise_rows(text_lines, sections, images, counts))
+    book = vocabulary(text_lines, sections, images, most_words)
+    rows = cut(noise_rows(text_lines, sections, images, book))
     heads = _heads(rows, pages)
     headers = cut(_headers(rows, heads))
     # A cut word at a page's end goes on behind the next page's header.
     starts = rows.where("kind in ('start', 'second')").select("doc_id", (F.col("page") - 1).alias("page"), F.col("key").alias("head"))
     opened = rows.where("kind = 'open'").select(*_IDS, "doc_id", "page", F.col("key").alias("tail"))
-    across = _goes_on_over(opened.join(starts, ["doc_id", "page"]).select(*_IDS, "tail", "head"), counts).select(*_IDS, F.lit("hyphen").alias("kind"))
+    across = _goes_on_over(opened.join(starts, ["doc_id", "page"]).select(*_IDS, "tail", "head"), book).select(*_IDS, F.lit("hyphen").alias("kind"))
     misread = rows.where("kind = 'misread'").join(heads, ["doc_id", "key"], "left_anti")
     misread = misread.join(headers.where("record_type = 'image'"), [*_IDS, "key"], "left_anti").select(*_IDS, "kind")
     plain = rows.where("kind in ('hyphen', 'page_number')").select(*_IDS, "kind")
@@ -482,6 +597,9 @@ def _flowed(lines: list[tuple[str, str, bool]], known: Vocabulary) -> list[tuple
             continue
         tokens = text.split()
         joint = _joint(body[-1][0], tokens[0], known) if body and CUT.search(body[-1][0]) else None
+        if body and CUT.search(body[-1][0]) and not known.complete:
+            for token in (body[-1][0][:-1], tokens[0], body[-1][0][:-1] + tokens[0], body[-1][0][:-1] + "-" + tokens[0]):
+                _mended(token, known)  # asks, whatever the joint will be
         if joint is not None:
             tail, was = body.pop()
             body.append((tail[:-1] + joint + tokens[0], was or scanned))
@@ -504,11 +622,11 @@ def repaired(text: str, known: Vocabulary, headers: frozenset[str] = frozenset()
 
 
 def _page_text(lines: list[tuple], known: Vocabulary) -> tuple[str, str | None, int, str | None, int, bool]:
-    """The text of a page's lines (uid, doc, page, text, heading, scanned, header, line_no); its first word if it is running text and
+    """The text of a page's lines (uid, doc, page, line_no, text, heading, scanned, header); its first word if it is running text and
     the length it has there, its last word if it is cut and the length; whether the last was scanned."""
     last = len(lines) - 1
     items = []
-    for i, (_, _, _, text, heading, scanned, header, _) in enumerate(lines):
+    for i, (_, _, _, _, text, heading, scanned, header) in enumerate(lines):
         text = consistent(text or "").strip()
         noise = header or not heading and i in {0, 1, last - 1, last} and page_number(text) is not None
         items.append((text, "noise" if noise else "apart" if heading else "", scanned))
@@ -524,60 +642,43 @@ def _page_text(lines: list[tuple], known: Vocabulary) -> tuple[str, str | None,
 PARAGRAPHS = "record_type STRING, record_id BIGINT, doc_id STRING, page INT, text STRING"
 
 
-def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2) -> DataFrame:
+def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages: int = 2, most_words: int = 200_000) -> DataFrame:
     """The continuous text of every page (without id), section and image: page numbers and running headers left out, lines
     joined to paragraphs, words cut at a line's or a page's end made whole, misread words of scanned text replaced.
 
     Headings, contents lines and table rows stay as they are, each by itself. Null texts have no row, nor have records without
     id or lines without document or page; of rows repeating an id one counts. A word cut at a page's end is moved to that page.
     """
-    counts = vocabulary(text_lines, sections, images)
-    rows = cut(noise_rows(text_lines, sections, images, counts))
+    book = vocabulary(text_lines, sections, images, most_words)
+    rows = cut(noise_rows(text_lines, sections, images, book))
     headers = cut(_headers(rows, _heads(rows, pages)))
 
-    def of_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Vocabulary(*counts.value)
-        page: list[tuple] = []
-        names = ["doc_id", "page", "text", "head", "head_len", "tail", "tail_len", "scanned"]
-        for batch in batches:
-            out: list[tuple] = []
-            for r in batch.itertuples(index=False, name=None):
-                if page and page[0][1:3] != (r[1], r[2]):
-                    out.append((*page[0][1:3], *_page_text(page, known)))
-                    page = []
-                if not page or page[-1][7] != r[3] or page[-1][0] != r[0]:  # a redelivery follows its line
-                    page.append((r[0], r[1], r[2], r[4], r[5], r[6], r[7], r[3]))
-            yield pd.DataFrame(out, columns=names)
-        if page:
-            yield pd.DataFrame([(*page[0][1:3], *_page_text(page, known))], columns=names)
-
-    def of_blocks(kind: str):
-        def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            known = Vocabulary(*counts.value)
-            for batch in batches:
-                out: list[tuple] = []
-                for uid, doc, page, first, final, text, keys in batch.itertuples(index=False, name=None):
-                    lines = [x.strip() for x in consistent(text).split("\n")]
-                    kinds, own = _kinds(kind, lines, None if first != first else first, None if final != final else final)
-                    drop = set(keys) if keys is not None else set()
-                    items = []
-                    for i, line in enumerate(lines):
-                        noise = kinds[i] == "number" or bool(own[i]) and own[i] in drop
-                        apart = bool(line) and (" | " in line or _titled(lines, i))
-                        items.append((line, "noise" if noise else "apart" if apart else "", True))
-                    whole = "\n\n".join(_written(p, known) for _, p in _flowed(items, known))
-                    out.append((kind, uid, doc, None if page != page else page, whole))
-                yield pd.DataFrame(out, columns=["record_type", "record_id", "doc_id", "page", "text"])
-
-        return read
+    def of_page_lines(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
+        yield (*unit[0][1:3], *_page_text(unit, known))
+
+    def of_block(kind: str) -> Callable:
+        def work(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
+            uid, doc, page, first, final, text, keys = unit[0]
+            lines = [x.strip() for x in consistent(text).split("\n")]
+            kinds, own = _kinds(kind, lines, _given(first), _given(final))
+            drop = set(keys) if keys is not None else set()
+            items = []
+            for i, line in enumerate(lines):
+                noise = kinds[i] == "number" or bool(own[i]) and own[i] in drop
+                apart = bool(line) and (" | " in line or _titled(lines, i))
+                items.append((line, "noise" if noise else "apart" if apart else "", True))
+            yield kind, uid, doc, _given(page), "\n\n".join(_written(p, known) for _, p in _flowed(items, known))
+
+        return work
 
     flag = headers.where("record_type = 'line'").select(F.col("record_id").alias("line_uid"), F.lit(True).alias("header")).distinct()
     lines = _lines(text_lines).join(flag, "line_uid", "left").withColumn("header", F.coalesce("header", F.lit(False)))
     lines = lines.select("line_uid", "doc_id", "page", "line_no", "text", "heading", "scanned", "header")
-    raw = cut(_by_page(lines).mapInPandas(of_pages, "doc_id STRING, page INT, text STRING, head STRING, head_len INT, tail STRING, tail_len INT, scanned BOOLEAN"))
+    schema = "doc_id STRING, page INT, text STRING, head STRING, head_len INT, tail STRING, tail_len INT, scanned BOOLEAN"
+    raw = cut(book.read(lines, ["doc_id", "page"], _pages, of_page_lines, schema, _by_page))
     cuts = raw.where("tail is not null").select("doc_id", "page", "tail", "scanned")
     nexts = raw.where("head is not null").select("doc_id", (F.col("page") - 1).alias("page"), "head")
-    over = cut(_goes_on_over(cuts.join(nexts, ["doc_id", "page"]), counts))
+    over = cut(_goes_on_over(cuts.join(nexts, ["doc_id", "page"]), book))
     ends = over.select("doc_id", "page", "head", "joint", F.when(F.col("scanned"), F.col("meant")).alias("meant"))
     begins = over.select("doc_id", (F.col("page") + 1).alias("page"), F.lit(True).alias("taken"))
     # From the right: the cut word is completed; then the page's first word, gone to the page before, is left out.
@@ -599,7 +700,8 @@ def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pa
         one = df.where(F.col(uid).isNotNull() & F.col(text).isNotNull()).groupBy(F.col(uid).alias("record_id"))
         one = one.agg(F.max(F.struct(F.col(text).alias("t"), F.col("doc_id").alias("d"), page.alias("p"), first.alias("a"), final.alias("b"))).alias("x"))
         own = keys.where(F.col("record_type") == kind).select("record_id", "keys")
-        return one.join(own, "record_id", "left").select("record_id", "x.d", "x.p", "x.a", "x.b", "x.t", "keys").mapInPandas(of_blocks(kind), PARAGRAPHS)
+        one = one.join(own, "record_id", "left").select("record_id", "x.d", "x.p", "x.a", "x.b", "x.t", "keys")
+        return book.read(one, ["record_id"], _each, of_block(kind), PARAGRAPHS)
 
     none = F.lit(None).cast("int")
     of_section = blocks(sections, "section", "section_uid", "text_plain", none, F.col("page_start"), F.col("page_end"))
@@ -612,7 +714,10 @@ LETTERS_OR_DIGITS = re.compile(r"[^\W_]+")
 
 def _mended(token: str, known: Vocabulary) -> str:
     """A token of running text with its misread words replaced."""
-    return LETTERS_OR_DIGITS.sub(lambda m: _mended_word(m[0], known), token) if known.misread(token) else token
+    found = known.misread(token)
+    # Words are asked for before it is known whether the token is misread.
+    mended = LETTERS_OR_DIGITS.sub(lambda m: _mended_word(m[0], known), token) if found or known.asked else token
+    return mended if found else token
 
 
 def _mended_word(word: str, known: Vocabulary) -> str:

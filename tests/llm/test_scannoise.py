@@ -108,3 +108,10 @@ def test_headers_of_long_pdfs(spark):
             uid += 1
     got = {r.record_id for r in Q.found(spark.createDataFrame(lines, LINES), *(t.limit(0) for t in tables(spark)[1:])).where("kind = 'header'").collect()}
     assert got == want
+
+
+def test_a_small_broadcast_changes_nothing(spark):
+    got = [sorted(map(tuple, Q.found(*tables(spark), most_words=n).collect())) for n in (3, 200_000)]
+    assert got[0] == got[1] and ("line", 14, "misread") in got[0]
+    texts = [sorted(map(str, Q.paragraphs(*tables(spark), most_words=n).collect())) for n in (3, 200_000)]
+    assert texts[0] == texts[1]
