@@ -10,7 +10,8 @@
    of it; a sentence that only speaks of an error message is covered in part.
 4. *Placeholders* are short, so a line with a window of the shape model is parsed for delimiters, and a placeholder counts
    if it interrupts natural text: the words before and after it are neighbours elsewhere, or it stands alone. Where it is
-   the subject of its sentence ("the field {{serial}} prints"), its neighbours meet nowhere else.
+   the subject of its sentence ("the field {{serial}} prints"), its neighbours meet nowhere else. These pairs are looked up
+   among the word pairs of the whole collection themselves, so the answer doesn't depend on its size.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from sheafline.session import cut
+
 GRAMS, SHAPES, BIGRAMS = 1 << 20, 1 << 16, 1 << 22
 CHUNK = 1 << 16
 
@@ -234,9 +237,6 @@ class Model:
         self.tables = [(kind, _ratios(grams(text), counts[0])) for kind, text in seeds]
         seed = " ".join([*(f"a {x}{n}{y} a" for x, y in DELIMITERS for n in NAMES), *(f"a {b} a" for b in BLANKS)])
         self.shape = _ratios(np.bincount(_hashed(shape(_codes(seed)), 4, SHAPES), minlength=SHAPES), counts[1])
-        self.neighbours = counts[2]
-        # In a table that is mostly empty any count tells; in a full one a pair must be met more often than bins are by chance.
-        self.chance = float(np.median(counts[2]))
 
     def covered(self, sentence: str, window: int = 12) -> tuple[float, str]:
         """The largest share of the sentence covered by windows whose mean ratio is positive, and of which model."""
@@ -282,8 +282,9 @@ class Model:
                 part, size = [], 0
         return out
 
-    def spans(self, text: str) -> list[tuple[int, int, str]]:
-        """(start, end, kind) of the residue in ``text``."""
+    def spans(self, text: str) -> list[tuple[int, int, str, str | None, str | None]]:
+        """(start, end, kind, before, after) of the residue in ``text``; a piece with words before and after it counts only if
+        these are neighbours elsewhere."""
         out = []
         if not text:
             return out
@@ -304,22 +305,21 @@ class Model:
             if end - a >= 5 and max(r[end] - r[a] for r in sums) > MEAN * (end - a):
                 share, kind = self.covered(text[a:b])
                 if share >= COVERED:
-                    out.append((a, b, kind))
+                    out.append((a, b, kind, None, None))
         for line in re.finditer(r"[^\n]+", text):
             a, b = line.span()
             if hit[min(b, len(hit) - 1)] > hit[min(a, len(hit) - 1)]:
-                out += [(a + x, a + y, "template") for x, y in self.placeholders(text[a:b])]
+                out += [(a + x, a + y, "template", *words) for x, y, *words in self.placeholders(text[a:b])]
         return out
 
-    def placeholders(self, line: str) -> list[tuple[int, int]]:
-        """Places of the placeholders that interrupt the line, or that are all of it."""
+    def placeholders(self, line: str) -> list[tuple[int, int, str | None, str | None]]:
+        """Places of the placeholders of the line, each with the words before and after it if it has both."""
         found = [m.span() for m in PLACEHOLDER.finditer(line)]
         out = []
         for i, (a, b) in enumerate(found):
             before = _words(PLACEHOLDER.sub(" ", line[:a]))[-2] if WORD.search(PLACEHOLDER.sub(" ", line[:a])) else ""
             after = _words(PLACEHOLDER.sub(" ", line[b:]))[1] if WORD.search(PLACEHOLDER.sub(" ", line[b:])) else ""
-            if not before and not after or self.neighbours[zlib.crc32(f"{before}\0{after}".encode()) % BIGRAMS] > self.chance:
-                out.append((a, b))
+            out.append((a, b, before, after) if before or after else (a, b, None, None))
         return out
 
 
@@ -341,10 +341,52 @@ def spans(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, texts = batch[doc_id].tolist(), batch[text].tolist()
-            rows = [(ids[i], k, a, b - a, texts[i][a:b]) for i in model.value.suspects(texts) for a, b, k in model.value.spans(texts[i])]
-            yield pd.DataFrame(rows, columns=[doc_id, "kind", "start", "length", "piece"])
+            rows = [(ids[i], k, a, b - a, texts[i][a:b], x, y) for i in model.value.suspects(texts) for a, b, k, x, y in model.value.spans(texts[i])]
+            yield pd.DataFrame(rows, columns=[doc_id, "kind", "start", "length", "piece", "_before", "_after"])
+
+    pieces = cut(documents.select(doc_id, text).mapInPandas(search, schema + ", _before STRING, _after STRING"))
+    asked = pieces.where("_before is not null").select("_before", "_after").distinct()
+    met = neighbours(documents, text, asked).withColumn("_met", F.lit(True))
+    judged = pieces.join(met, ["_before", "_after"], "left").where("_before is null or _met")
+    return judged.select(doc_id, "kind", "start", "length", "piece")
+
+
+def neighbours(documents: DataFrame, text: str, asked: DataFrame) -> DataFrame:
+    """The pairs of words of ``asked`` (_before, _after) that are neighbours anywhere in the collection.
+
+    Tasks drop pairs whose bin, of 2^22, no asked pair has: the bins save work and decide nothing; the join does.
+    """
+    spark = documents.sparkSession
+
+    def bins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"bin": [_bin(a, b) for a, b in zip(batch["_before"], batch["_after"])]})
+
+    wanted = np.zeros(BIGRAMS, bool)
+    wanted[[r["bin"] for r in asked.mapInPandas(bins, "bin INT").distinct().collect()]] = True
+    sent = spark.sparkContext.broadcast(np.packbits(wanted))
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = np.unpackbits(sent.value).astype(bool)
+        for batch in batches:
+            out: set[tuple[str, str]] = set()
+            seen: set[tuple[str, str]] = set()
+            for t in batch[text]:
+                if t:
+                    words = _words(t)
+                    seen.update(zip(words, words[1:]))
+                    if len(seen) > 200_000:
+                        out |= {p for p in seen if known[_bin(*p)]}
+                        seen = set()
+            out |= {p for p in seen if known[_bin(*p)]}
+            yield pd.DataFrame(list(out), columns=["_before", "_after"])
+
+    found = documents.select(text).mapInPandas(pairs, "_before STRING, _after STRING").distinct()
+    return asked.join(found, ["_before", "_after"], "left_semi")
+
 
-    return documents.select(doc_id, text).mapInPandas(search, schema)
+def _bin(before: str, after: str) -> int:
+    return zlib.crc32(f"{before}\0{after}".encode("utf-8", "surrogatepass")) % BIGRAMS
 
 
 def found(documents: DataFrame) -> DataFrame:

@@ -28,3 +28,13 @@ def test_counts_are_those_of_one_task(spark):
     # Grams across two texts' border depend on what follows; words and shapes within texts don't.
     assert abs(int(a[0].sum()) - int(b[0].sum())) <= 5 * len(NATURAL)
     assert (a[2] != b[2]).sum() == 0
+
+
+def test_neighbours_are_those_of_the_texts_themselves(spark):
+    # So many pairs that bins of a fixed table fill up: what was never met doesn't count, what was met once does.
+    texts = [" ".join(f"{chr(97 + (i * 7 + k) % 26)}w{'abcdefghij'[k % 10]}{chr(97 + k // 10 % 26)}{chr(97 + i % 26)}{chr(97 + i // 26)}" for k in range(200)) for i in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, t string")
+    words = texts[0].split()
+    asked = [(words[0], words[1]), (words[1], words[0]), (words[5], texts[3].split()[9])]
+    got = Q.neighbours(df, "t", spark.createDataFrame(asked, "_before string, _after string")).collect()
+    assert [tuple(r) for r in got] == asked[:1]
