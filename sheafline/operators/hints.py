@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sheafline.config import DEFAULT, GENERIC_TITLES, Config
 from sheafline.functions import text as X
+from sheafline.operators.lines import header_levels, index_page
 
 COLUMNS = ["doc_id", "target_field", "confidence", "hint_type", "page", "section_id", "source_text", "supporting_text", "matched_terms", "seq"]
 
@@ -91,6 +92,14 @@ def name_hints(documents: DataFrame, headers: DataFrame | None = None, config: C
     return named.unionByName(spare.select(*row(F.btrim("h.text"), 0.58, "page_header_candidate", F.col("h.page") + 1, "header_candidate")))
 
 
+def header_candidates(lines: DataFrame, tables: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """The headers of ``lines`` as ``name_hints`` takes them; ``page_rank`` counts a document's pages that aren't contents from 1."""
+    pages = index_page(lines, config).where("not is_index").select("doc_id", "page").distinct()
+    ranks = pages.withColumn("page_rank", F.row_number().over(W.partitionBy("doc_id").orderBy("page")))
+    levels = header_levels(lines, tables, config).where("header_level in ('section_header', 'subheader')")
+    return levels.join(ranks, ["doc_id", "page"]).select("doc_id", "page_rank", "page", "text", F.col("header_score").alias("score"), "line_no")
+
+
 def ranked(hints: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """``hints`` once per field, page, section, comparable source and type (the most confident, at the place of the first),
     with ``rank`` within document and field: by confidence, page, length of the source, place."""

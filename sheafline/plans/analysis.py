@@ -354,7 +354,8 @@ def value_hints(spark, d):
 def ranked_hints(spark, d):
     s, t = sections_of(spark, d), tables_of(spark, d)
     docs = table(spark, d, "documents_meta").groupBy("doc_id").agg(F.max_by("title_metadata", F.struct("ingested_at", "title_metadata")).alias("title_metadata"))
-    every = hints.name_hints(docs).unionByName(hints.title_hints(s)).unionByName(hints.value_hints(s)).unionByName(hints.column_hints(t))
+    headers = hints.header_candidates(lines_of(spark, d), t)
+    every = hints.name_hints(docs, headers).unionByName(hints.title_hints(s)).unionByName(hints.value_hints(s)).unionByName(hints.column_hints(t))
     return hints.ranked(every)
 
 

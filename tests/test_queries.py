@@ -38,3 +38,9 @@ def test_against_sql(spark, name):
 def test_entry_and_rest_without_llm(spark):
     assert entry.entry(spark).limit(1).count() == 1
     assert "p1_found" in entry.queries()
+
+
+def test_documents_without_a_title_are_named_by_a_header(spark):
+    got = entry.queries()["ranked_hints"](spark, SF).where("hint_type = 'page_header_candidate'")
+    assert got.count() > 0 and got.where("target_field <> 'product_name' or confidence <> 0.58").count() == 0
+    assert got.count() == got.select("doc_id").distinct().count()
