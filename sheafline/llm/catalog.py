@@ -42,6 +42,8 @@ SQL["p9_found"] = leakage.oracle_sql()
 
 QUERIES["p3_found"] = lambda spark, d: neardup.found(table(spark, d, "sections"))
 SQL["p3_found"] = neardup.oracle_sql()
+QUERIES["p3_groups"] = lambda spark, d: neardup.section_groups(table(spark, d, "sections"))
+SQL["p3_groups"] = neardup.groups_sql()
 
 QUERIES["p10_found"] = lambda spark, d: residue.found(table(spark, d, "documents"))
 
