@@ -1,6 +1,7 @@
 """Visually identical text with different characters: look-alike classes, representatives and a rewriting automaton.
 
-1. *Inventory*: one pass counts every code point of the collection, and every base letter with separated accents.
+1. *Inventory*: one pass counts every code point of the collection, every letter with separated accents that Unicode has as
+   one character, and the letters that ligatures stand for.
 2. *Classes*: rules name pairs that look alike (a wide form and its plain form, a ligature and its letters, a letter and
    its look-alike in another alphabet, an accented letter and the same written in two, an invisible character and the
    empty string); union-find over these strings and code points closes the pairs transitively.
@@ -9,12 +10,15 @@
    place first. Letters of another alphabet are rewritten only inside a word that also has Latin letters, so Russian
    words and unit signs such as kΩ stay.
 
-The inventory that reaches the driver has at most one row per code point and per accented pair, never per record. Only
-records that hold a member other than its representative leave the JVM for rewriting.
+The inventory that reaches the driver is bounded by Unicode itself: a row per code point, per character that has a written-out
+form and per ligature, however the collection stacks its accents. Only records that hold a member other than its
+representative leave the JVM for rewriting. What has no look-alike in Unicode's data (an accent that no single character
+bears) stays as it is.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -25,19 +29,22 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-# Letters of other alphabets that look like a Latin letter.
+# Letters of other alphabets, and of phonetic script, that look like a Latin letter (Cyrillic, Greek, Armenian, Cherokee).
 CROSS = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k",
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
     "І": "I", "Ј": "J", "Ѕ": "S", "ԁ": "d", "һ": "h", "ԛ": "q", "ԝ": "w", "ӏ": "l",
     "α": "a", "ο": "o", "ν": "v", "ρ": "p", "ι": "i", "κ": "k", "υ": "u", "τ": "t", "χ": "x", "γ": "y", "ε": "e", "η": "n",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+    "օ": "o", "ս": "u", "հ": "h", "ց": "g", "յ": "j", "զ": "q", "Օ": "O", "Ս": "U",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "ѵ": "v", "Ԛ": "Q", "Ԝ": "W", "ϲ": "c", "ϳ": "j", "ɑ": "a", "ɡ": "g",
 }
 # Hyphens that look like U+002D.
 HYPHENS = "‐‑−﹣"
 # Code points that show nothing.
 INVISIBLE = "­͏᠎​‌‍⁠﻿"
-MARKS = "[\\u0300-\\u036F]"
+MARKED = re.compile("([^\u0300-\u036f\u3099\u309a])([\u0300-\u036f\u3099\u309a]+)")
 
 
 def _plain(ch: str) -> str | None:
@@ -50,6 +57,8 @@ def _plain(ch: str) -> str | None:
         return " "
     kind = unicodedata.decomposition(ch).partition(" ")[0]
     name = unicodedata.name(ch, "")
+    if kind and kind[0] != "<" and len(one := unicodedata.normalize("NFC", ch)) == 1 and one != ch:
+        return one  # a sign that Unicode holds to be the letter itself
     if kind in ("<wide>", "<narrow>", "<noBreak>") or kind == "<font>" or "LATIN" in name and "LIGATURE" in name and kind == "<compat>":
         return unicodedata.normalize("NFKC", ch)
     return None
@@ -80,30 +89,43 @@ class Classes:
         return out
 
 
+#: Letters that Latin ligatures stand for.
+LIGATURES = sorted({p for c in (*range(0x100, 0x250), *range(0xFB00, 0xFB07)) if len(p := _plain(chr(c)) or "") > 1})
+
+
+def composed(base: str, marks: str) -> str:
+    """The longest beginning of a letter and its accents that Unicode has as one character; '' if the first one has none."""
+    done, out = base, ""
+    for i, m in enumerate(marks):
+        done = unicodedata.normalize("NFC", done + m)
+        if len(done) > 1:
+            break
+        out = base + marks[: i + 1]
+    return out
+
+
 def inventory(strings: DataFrame, text: str) -> Counter:
-    """How often each code point, and each letter with separated accents, occurs in column ``text`` (nulls have none)."""
+    """How often each code point, each written-out accented letter and the letters of each ligature occur in column ``text``
+    (nulls have none), in one pass."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0x110000, np.int64)
+        strings: Counter = Counter()
         for batch in batches:
-            whole = "".join(x for x in batch.column(0).to_pylist() if x)
+            whole = "\n".join(x for x in batch.column(0).to_pylist() if x)
             if whole:
-                total += np.bincount(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32), minlength=0x110000)
+                seen = np.bincount(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32), minlength=0x110000)
+                total += seen
+                if seen[0x300:0x370].any() or seen[0x3099:0x309B].any():
+                    strings.update(c for b, m in MARKED.findall(whole) if (c := composed(b, m)))
+                strings.update({x: n for x in LIGATURES if (n := whole.count(x))})
         at = np.flatnonzero(total)
         at = at[(at < 0xD800) | (at > 0xDFFF)]
-        yield pa.RecordBatch.from_arrays([pa.array([chr(c) for c in at], pa.string()), pa.array(total[at])], names=["s", "n"])
+        names, n = [*map(chr, at.tolist()), *strings], [*total[at].tolist(), *strings.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(n, pa.int64())], names=["s", "n"])
 
-    points = strings.select(text).mapInArrow(count, "s STRING, n BIGINT")
-    pairs = strings.where(F.col(text).rlike(MARKS)).select(
-        F.explode(F.regexp_extract_all(text, F.lit(f"([^\\u0300-\\u036F]{MARKS}+)"), 1)).alias("s"), F.lit(1).cast("bigint").alias("n")
-    )
-    seen = Counter({r["s"]: r["n"] for r in points.unionByName(pairs).groupBy("s").agg(F.sum("n").alias("n")).collect()})
-    # Strings that one of the code points looks like (the letters of a ligature) are counted as strings.
-    longer = sorted({p for s in seen if len(s) == 1 and (p := _plain(s)) and len(p) > 1})
-    if longer:
-        times = [F.sum((F.length(text) - F.length(F.replace(F.col(text), F.lit(p), F.lit("")))) / len(p)).cast("bigint").alias(f"n{i}") for i, p in enumerate(longer)]
-        seen.update({p: n or 0 for p, n in zip(longer, strings.agg(*times).first())})
-    return seen
+    rows = strings.select(text).mapInArrow(count, "s STRING, n BIGINT").groupBy("s").agg(F.sum("n").alias("n"))
+    return Counter({r["s"]: r["n"] for r in rows.collect()})
 
 
 def representatives(seen: Counter) -> dict[str, str]:
@@ -111,7 +133,7 @@ def representatives(seen: Counter) -> dict[str, str]:
     classes = Classes()
     for s in seen:
         if len(s) > 1:
-            if unicodedata.combining(s[-1]) and (one := unicodedata.normalize("NFC", s)) != s:
+            if s not in LIGATURES and unicodedata.combining(s[-1]) and (one := unicodedata.normalize("NFC", s)) != s:
                 classes.join(s, one)
         elif (plain := CROSS.get(s, _plain(s))) is not None:
             classes.join(s, plain)

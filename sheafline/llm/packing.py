@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sheafline.session import cut
 
@@ -113,8 +113,9 @@ def containers(
         doc_id, F.explode(F.filter(F.sequence(F.lit(0), full), lambda k: (k < full) | (rest > 0))).alias("piece"), full.alias("full"), rest.alias("rest")
     )
     pieces = pieces.select(doc_id, "piece", F.when(F.col("piece") < F.col("full"), capacity).otherwise(F.col("rest")).cast("int").alias("n_tokens"))
+    again = F.row_number().over(Window.partitionBy(doc_id, "piece").orderBy("n_tokens"))  # rows repeating an id
     whole = pieces.where(F.col("n_tokens") == capacity).select(
-        doc_id, "piece", "n_tokens", F.concat(F.lit("full-"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("-"), "piece", F.lit("-"), F.monotonically_increasing_id()).alias("container")
+        doc_id, "piece", "n_tokens", F.concat(F.lit("full-"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("-"), "piece", F.lit("-"), again).alias("container")
     )
     todo = pieces.where(F.col("n_tokens") < capacity).withColumn("item", F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "piece"))
     done = whole

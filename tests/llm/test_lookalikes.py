@@ -32,3 +32,18 @@ def test_forms_are_stable():
     for t in CASES:
         once = Q.rewrite(t, a)
         assert Q.rewrite(once, a) == once == unicodedata.normalize("NFC", once)
+
+
+def test_signs_and_other_alphabets():
+    assert (Q._plain("\u212a"), Q._plain("\u212b"), Q._plain("K"), Q._plain("é")) == ("K", "\u00c5", None, None)
+    members = Q.representatives(Counter({"Ꮯ": 1, "օ": 1, "\u212a": 1, "C": 9, "o": 9, "K": 9, "l": 9, "d": 9}))
+    a = Q.automaton(members)
+    assert Q.rewrite("Ꮯօld \u212aey ᎿᎪ", a) == "Cold Key ᎿᎪ"
+
+
+def test_inventory_is_bounded_however_accents_are_stacked(spark):
+    rows = [("e" + "\u0301" * n + "x" + "q\u0302" * n,) for n in range(1, 60)] + [("o\u0323\u0302 ộ ofﬁce office",), (None,), ("",)]
+    seen = Q.inventory(spark.createDataFrame(rows, "t string"), "t")
+    # The accented letters written out once, no letter with many accents and none that Unicode lacks.
+    assert {s for s in seen if len(s) > 1 and s not in Q.LIGATURES} == {"e\u0301", "o\u0323\u0302"}
+    assert seen["e\u0301"] == 59 and seen["ffi"] == 1 and seen["ff"] >= 1
