@@ -22,6 +22,10 @@ PLAIN = "aaaaaaeeeeiiiiooooouuuuncyyaeopcyxijskmhtbovptaeikmhbuxy"
 CONJUNCTIONS = ("and", "y", "und", "et", "e")
 
 
+#: Letters that a title with a word cut short must keep: fewer name nothing.
+SHORTEST_CUT = 4
+
+
 def _sub(text: str, pattern: str, to: str, duckdb: bool) -> str:
     return f"regexp_replace({text}, '{pattern}', '{to}', 'g')" if duckdb else f"regexp_replace({text}, r'{pattern}', '{to}')"
 
@@ -53,7 +57,7 @@ def _bare(text: str, duckdb: bool) -> str:
 
 
 def _squashed(text: str, duckdb: bool) -> str:
-    return _sub(text, "[^a-z]", "", duckdb)
+    return _sub(text, r"[^\p{L}]", "", duckdb)
 
 
 def _forms_sql(canonical: str, duckdb: bool) -> str:
@@ -84,7 +88,7 @@ def _forms_sql(canonical: str, duckdb: bool) -> str:
   ),
   forms AS (
     SELECT form, abbreviated, min(canon_id) AS canon_id FROM (SELECT canon_id, {_squashed('form', duckdb)} AS form, abbreviated FROM shapes) s
-    WHERE length(form) >= 4 GROUP BY form, abbreviated
+    WHERE length(form) >= CASE WHEN abbreviated = 1 THEN {SHORTEST_CUT} ELSE 1 END GROUP BY form, abbreviated
   )"""
 
 
@@ -100,37 +104,37 @@ def _typed_sql(titles: str, duckdb: bool) -> str:
   )"""
 
 
-#: Edits allowed for a reference form of length n: none below 6, four from 10 letters on (two swapped pairs).
-EDITS = "CASE WHEN length(form) < 6 THEN 0 WHEN length(form) < 8 THEN 2 WHEN length(form) < 10 THEN 3 ELSE 4 END"
+#: Edits allowed for a reference form by its length: one for every two letters beyond two, four at most (two swapped pairs).
+MOST_EDITS = 4
+EDITS = f"least({MOST_EDITS}, greatest(0, length(form) - 2) div 2)"
 
 _EXACT = "SELECT t.title, r.canon_id, 0 AS d FROM {typed} t JOIN {forms} r ON t.form = r.form AND (r.abbreviated = 0 OR t.dotted)"
 
-#: form, canon_id, d of every open form within the allowed edits of a reference form.
+#: form, ref, k, d of every open form within the k edits of a reference form that it allows.
 _NEAR = """WITH
-  open AS (SELECT DISTINCT t.form FROM {typed} t LEFT ANTI JOIN {exact} e ON t.title = e.title),
-  refs AS (SELECT form, canon_id, length(form) AS n, {edits} AS k FROM {forms} WHERE abbreviated = 0),
+  refs AS (SELECT form, least({most}, k) AS k, length(form) AS n FROM {known}),
   cuts AS (
     SELECT n, k, i, i * (n div (k + 1)) + greatest(0, i - (k + 1 - n % (k + 1))) AS p,
            n div (k + 1) + CASE WHEN i >= k + 1 - n % (k + 1) THEN 1 ELSE 0 END AS l
     FROM (SELECT n, k, explode(sequence(0, k)) AS i FROM (SELECT DISTINCT n, k FROM refs))
   ),
-  ref_parts AS (SELECT r.form AS ref, r.canon_id, r.k, r.n, c.i, substr(r.form, c.p + 1, c.l) AS part FROM refs r JOIN cuts c ON r.n = c.n),
+  ref_parts AS (SELECT r.form AS ref, r.k, r.n, c.i, substr(r.form, c.p + 1, c.l) AS part FROM refs r JOIN cuts c ON r.n = c.n AND r.k = c.k),
   near_lengths AS (
-    SELECT form, n FROM (SELECT form, explode(sequence(greatest(1, length(form) - 4), length(form) + 4)) AS n FROM open)
+    SELECT form, n FROM (SELECT form, explode(sequence(greatest(1, length(form) - {most}), length(form) + {most})) AS n FROM {open})
   ),
   spans AS (
-    SELECT o.form, c.n, c.i, c.l,
+    SELECT o.form, c.n, c.k, c.i, c.l,
            greatest(0, c.p - c.i, c.p + length(o.form) - c.n - (c.k - c.i)) AS lo,
            least(length(o.form) - c.l, c.p + c.i, c.p + length(o.form) - c.n + (c.k - c.i)) AS hi
     FROM near_lengths o JOIN cuts c ON c.n = o.n AND abs(length(o.form) - c.n) <= c.k
   ),
   open_parts AS (
-    SELECT form, n, i, substr(form, s + 1, l) AS part FROM (SELECT form, n, i, l, explode(sequence(lo, hi)) AS s FROM spans WHERE lo <= hi)
+    SELECT form, n, k, i, substr(form, s + 1, l) AS part FROM (SELECT form, n, k, i, l, explode(sequence(lo, hi)) AS s FROM spans WHERE lo <= hi)
   ),
   candidates AS (
-    SELECT DISTINCT o.form, r.ref, r.canon_id, r.k FROM open_parts o JOIN ref_parts r ON o.n = r.n AND o.i = r.i AND o.part = r.part
+    SELECT DISTINCT o.form, r.ref, r.k FROM open_parts o JOIN ref_parts r ON o.n = r.n AND o.k = r.k AND o.i = r.i AND o.part = r.part
   )
-SELECT form, canon_id, d FROM (SELECT form, canon_id, levenshtein(form, ref, k) AS d FROM candidates) WHERE d >= 0"""
+SELECT form, ref, d FROM (SELECT form, ref, levenshtein(form, ref, k) AS d FROM candidates) WHERE d >= 0"""
 
 #: Every distinct title with its best entry; the anti-join reports the titles without one.
 _BEST = """WITH
@@ -151,6 +155,18 @@ def _run(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     return spark.sql(sql.replace("{", "{{").replace("}", "}}").replace("\0", "{").replace("\1", "}"), **frames)
 
 
+def near(open_forms: DataFrame, known: DataFrame) -> DataFrame:
+    """form, ref, d: every form of ``open_forms`` (form) with the forms of ``known`` (form, k) that lie within their k edits,
+    ``MOST_EDITS`` at most, and the distance. Forms are distinct, not null and not empty."""
+    sql = _NEAR.replace("{most}", str(MOST_EDITS))
+    return _run(open_forms.sparkSession, sql, open=open_forms, known=known)
+
+
+_OPEN = "SELECT DISTINCT t.form FROM {typed} t LEFT ANTI JOIN {exact} e ON t.title = e.title"
+_KNOWN = f"SELECT form, {EDITS} AS k FROM {{forms}} WHERE abbreviated = 0"
+_ENTRIES = "SELECT n.form, f.canon_id, n.d FROM {found} n JOIN {forms} f ON n.ref = f.form WHERE f.abbreviated = 0"
+
+
 def resolve(titles: DataFrame, canonical: DataFrame) -> DataFrame:
     """title, canon_id, edits of each distinct non-null title of ``titles`` (column title); canon_id 0 and edits null where no
     entry is near enough. Of several near entries the one with the fewest edits wins, then the smallest canon_id. Empty
@@ -162,8 +178,9 @@ def resolve(titles: DataFrame, canonical: DataFrame) -> DataFrame:
     forms = cut(_run(spark, f"WITH {_forms_sql('{canonical}', False)} SELECT * FROM forms", canonical=canonical))
     typed = cut(_run(spark, f"WITH {_typed_sql('{titles}', False)} SELECT * FROM typed", titles=titles))
     exact = cut(_run(spark, _EXACT, typed=typed, forms=forms))
-    near = cut(_run(spark, _NEAR.replace("{edits}", EDITS), typed=typed, forms=forms, exact=exact))
-    return _run(spark, _BEST, titles=titles, typed=typed, exact=exact, near=near)
+    found = near(_run(spark, _OPEN, typed=typed, exact=exact), _run(spark, _KNOWN, forms=forms))
+    entries = cut(_run(spark, _ENTRIES, found=found, forms=forms))
+    return _run(spark, _BEST, titles=titles, typed=typed, exact=exact, near=entries)
 
 
 def title_records(sections: DataFrame, maps: DataFrame) -> DataFrame:
@@ -196,7 +213,7 @@ def oracle_sql() -> str:
   ), {_forms_sql('canonical_titles', True)}, {_typed_sql('records', True)},
   exact AS (SELECT t.title, r.canon_id FROM typed t JOIN forms r ON t.form = r.form AND (r.abbreviated = 0 OR t.dotted)),
   near AS (
-    SELECT t.title, r.canon_id, levenshtein(t.form, r.form) AS d FROM typed t, (SELECT form, canon_id, {EDITS} AS k FROM forms WHERE abbreviated = 0) r
+    SELECT t.title, r.canon_id, levenshtein(t.form, r.form) AS d FROM typed t, (SELECT form, canon_id, {EDITS.replace("div", "//")} AS k FROM forms WHERE abbreviated = 0) r
     WHERE t.title NOT IN (SELECT title FROM exact) AND abs(length(t.form) - length(r.form)) <= r.k AND levenshtein(t.form, r.form) <= r.k
   ),
   best AS (

@@ -22,14 +22,14 @@ def test_partition_join_finds_every_near_form(spark):
     import random
 
     rng = random.Random(5)
-    canon = [(i, "en", "".join(rng.choices("abcd", k=rng.randrange(6, 16)))) for i in range(30)]
+    canon = [(i, "en", "".join(rng.choices("abcd", k=rng.randrange(3, 16)))) for i in range(30)]
     typed = set()
     for _, _, t in canon:
         for _ in range(10):
             u = list(t)
             for _ in range(rng.randrange(6)):
                 p = rng.randrange(len(u))
-                u[p : p + rng.randrange(2)] = rng.choice("abcd")
+                u[p : p + rng.randrange(2)] = rng.choice("abcd")  # never empty
             typed.add("".join(u))
 
     def distance(a, b):
@@ -40,8 +40,15 @@ def test_partition_join_finds_every_near_form(spark):
                 last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
         return row[-1]
 
-    k = lambda n: 0 if n < 6 else 2 if n < 8 else 3 if n < 10 else 4
+    k = lambda n: min(4, (n - 2) // 2)
     got = {r.title: r.edits for r in Q.resolve(spark.createDataFrame([(t,) for t in typed], "title string"), spark.createDataFrame(canon, "canon_id int, lang string, title string")).collect()}
     for t in typed:
         near = [d for _, _, c in canon for d in [distance(t, c)] if d <= k(len(c))]
         assert got[t] == (min(near) if near else None), t
+
+
+def test_short_and_other_alphabets(spark):
+    canon = spark.createDataFrame([(1, "en", "Use"), (2, "en", "Care"), (3, "ru", "Безопасность"), (4, "el", "Συντήρηση")], "canon_id int, lang string, title string")
+    cases = {"USE": 1, "3. Use": 1, "Usk": 0, "Caré": 2, "Cara": 2, "C.": 0, "Безопасность": 3, "Безопаснсть": 3, "Συντήρηση": 4, "Гарантия": 0}
+    got = {r.title: r.canon_id for r in Q.resolve(spark.createDataFrame([(t,) for t in cases], "title string"), canon).collect()}
+    assert got == cases
