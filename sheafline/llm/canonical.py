@@ -46,6 +46,11 @@ def _folded(text: str, duckdb: bool) -> str:
     return x
 
 
+def folded(text: str) -> str:
+    """SQL of the folded form of a column."""
+    return _folded(text, False)
+
+
 def _bare(text: str, duckdb: bool) -> str:
     """Without numbering before it and page, continuation mark, product code or punctuation behind it."""
     x = _sub(text, r"\s+", " ", duckdb)

@@ -48,6 +48,7 @@ SQL["p3_groups"] = neardup.groups_sql()
 QUERIES["p10_found"] = lambda spark, d: residue.found(table(spark, d, "documents"))
 
 QUERIES["p5_found"] = lambda spark, d: language.found(table(spark, d, "sections"), table(spark, d, "canonical_titles"))
+QUERIES["p5_segments"] = lambda spark, d: language.section_segments(table(spark, d, "sections"), table(spark, d, "canonical_titles"))
 
 QUERIES["p4_found"] = lambda spark, d: scannoise.found(table(spark, d, "text_lines"), table(spark, d, "sections"), table(spark, d, "image_blocks"))
 

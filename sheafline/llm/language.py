@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from sheafline.llm import canonical
 from sheafline.session import cut
 
 LANGS = ("en", "es", "de", "fr", "it")
@@ -44,7 +45,8 @@ COMMON = {
 }
 
 BINS = 1 << 16
-CODED = re.compile(r"\S*\d\S*")
+CODED = re.compile(r"(?<!\S)[^\s\d]*\d\S*")
+DIGIT = re.compile(r"\d")
 WORD = re.compile(r"[^\W\d_]+")
 FOREIGN = re.compile("[\u0370-\uffff]")
 BREAK = re.compile(r"(?<=[.!?:])\s+|\n\s*\n")
@@ -62,7 +64,11 @@ def lexicons(titles: list[tuple[str, str]]) -> dict[str, set[str]]:
 
 def words(text: str) -> list[str]:
     """Lower-cased words; codes, numbers and words of other alphabets are of no language."""
-    return [w.lower() for w in WORD.findall(CODED.sub(lambda m: " " * len(m[0]), text)) if not FOREIGN.search(w)]
+    text = text.lower()
+    if DIGIT.search(text):
+        text = CODED.sub(" ", text)
+    found = WORD.findall(text)
+    return found if text.isascii() or not FOREIGN.search(text) else [w for w in found if not FOREIGN.search(w)]
 
 
 def sentences(text: str | None) -> list[str]:
@@ -91,15 +97,20 @@ class Field:
         self.lexicon = lexicon
         self.weights = np.zeros((BINS, len(LANGS)))
         self.steps = np.zeros((len(LANGS), len(LANGS)))
-        self.known: dict[str, np.ndarray] = {}
-
-    def emit(self, word: str) -> np.ndarray:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            got = self.known[word] = self.weights[features(word, self.lexicon)].sum(0)
-        return got
+        self.known: dict[str, int] = {}
+        self.scores = np.zeros((1024, len(LANGS)), np.float32)
+
+    def emit(self, words: list[str]) -> np.ndarray:
+        """Scores of the words; those of a word are computed once, as long as no more than some hundred thousand are kept."""
+        if len(self.known) > 300_000:
+            self.known = {}
+        known = self.known
+        for w in {w for w in words if w not in known}:
+            if len(known) == len(self.scores):
+                self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)))
+            self.scores[len(known)] = self.weights[features(w, self.lexicon)].sum(0)
+            known[w] = len(known)
+        return self.scores[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
     @staticmethod
     def marginals(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,8 +144,7 @@ class Field:
             ids = order[a : a + batch]
             lengths = np.array([len(sequences[i]) for i in ids])
             scores = np.zeros((len(ids), lengths.max(), len(LANGS)))
-            for r, i in enumerate(ids):
-                scores[r, : lengths[r]] = [self.emit(w) for w in sequences[i]]
+            scores[np.arange(lengths.max())[None, :] < lengths[:, None]] = self.emit([w for i in ids for w in sequences[i]])
             gamma = self._forward_backward(scores, lengths)
             for r, i in enumerate(ids):
                 out[i] = gamma[r, : lengths[r]]
@@ -174,35 +184,34 @@ class Field:
         weights = np.vstack([self.weights, np.zeros((1, len(LANGS)))])
         seen, seen_steps = np.full_like(weights, 1e-8), np.full_like(self.steps, 1e-8)
         rng = np.random.default_rng(7)
-        parts = [sequences[a : a + batch] for a in range(0, len(sequences), batch)]
+        parts = []
+        for a in range(0, len(sequences), batch):
+            part = sequences[a : a + batch]
+            lengths = np.array([len(ws) for ws, _ in part])
+            used, local = np.unique(np.array([index[w] for ws, _ in part for w in ws]), return_inverse=True)
+            gold = np.array([x for _, ls in part for x in ls])
+            within = np.ones(len(gold) - 1, bool)
+            within[np.cumsum(lengths)[:-1] - 1] = False
+            true = np.bincount((gold[:-1] * len(LANGS) + gold[1:])[within], minlength=len(LANGS) ** 2).reshape(len(LANGS), -1)
+            parts.append((lengths, used, local, gold, true, *np.unique(table[used].ravel(), return_inverse=True)))
         for _ in range(epochs):
             for j in rng.permutation(len(parts)):
-                part = parts[j]
-                lengths = np.array([len(ws) for ws, _ in part])
-                ids = [np.array([index[w] for w in ws]) for ws, _ in part]
-                used, local = np.unique(np.concatenate(ids), return_inverse=True)
+                lengths, used, local, gold, true, grad_ids, inverse = parts[j]
                 emission = weights[table[used]].sum(1)
-                scores = np.zeros((len(part), lengths.max(), len(LANGS)))
+                scores = np.zeros((len(lengths), lengths.max(), len(LANGS)))
                 at = np.arange(lengths.max())[None, :] < lengths[:, None]
                 scores[at] = emission[local]
                 gamma, pair = self.marginals(scores, lengths, self.steps)
-                gold = np.concatenate([ls for _, ls in part])
                 # Gradient of the emissions per distinct word, then spread over its features.
                 error = -gamma[at]
                 error[np.arange(len(gold)), gold] += 1
-                per_word = np.zeros((len(used), len(LANGS)))
-                np.add.at(per_word, local, error)
-                flat = table[used].ravel()
-                grad_ids, inverse = np.unique(flat, return_inverse=True)
-                grad = np.zeros((len(grad_ids), len(LANGS)))
-                np.add.at(grad, inverse, np.repeat(per_word, width, axis=0))
+                summed = lambda at, x, n: np.stack([np.bincount(at, x[:, c], n) for c in range(len(LANGS))], axis=1)
+                per_word = summed(local, error, len(used))
+                grad = summed(inverse, np.repeat(per_word, width, axis=0), len(grad_ids))
                 grad -= decay * weights[grad_ids]
                 seen[grad_ids] += grad**2
                 weights[grad_ids] += rate * grad / np.sqrt(seen[grad_ids])
                 weights[BINS] = 0
-                true = np.zeros_like(pair)
-                for _, ls in part:
-                    np.add.at(true, (ls[:-1], ls[1:]), 1)
                 g = true - pair
                 seen_steps += g**2
                 self.steps += rate * g / np.sqrt(seen_steps)
@@ -231,7 +240,7 @@ def train(labelled: list[tuple[str, str]], titles: list[tuple[str, str]], rounds
             for i, j in rng.integers(0, max(1, len(short)), (len(short), 2)):
                 a, b = short[i], short[j]
                 sequences += [(a[1], [a[0]] * len(a[1])), (a[1] + b[1], [a[0]] * len(a[1]) + [b[0]] * len(b[1]))]
-        field.fit(sequences)
+        field.fit(sequences, epochs=4 if r + 1 == rounds else 2)
         if r + 1 < rounds:
             units = [u for u, g in zip(units, field.label([ws for _, ws in units])) if g.sum(0).argmax() == u[0]]
     return field
@@ -247,7 +256,7 @@ def label_column(label):
     return out.otherwise("other")
 
 
-def model(records: DataFrame, record_id: str, text: str, label: str, titles: DataFrame, train_rows: int = 3000, max_titles: int = 10_000) -> Field:
+def model(records: DataFrame, record_id: str, text: str, label: str, titles: DataFrame, train_rows: int = 1500, max_titles: int = 10_000) -> Field:
     """The field fitted on at most ``train_rows`` records whose label names one of the languages, and at most
     ``max_titles`` known titles (columns lang and title)."""
     lang = label_column(F.col(label))
@@ -265,7 +274,7 @@ def model(records: DataFrame, record_id: str, text: str, label: str, titles: Dat
 SEGMENTS = "field STRING, segment INT, lang STRING, confidence DOUBLE, n_words INT, piece STRING"
 
 
-def _title_segments(title: str, field: Field, gamma: np.ndarray) -> list[tuple[str, float, int, str]]:
+def _title_segments(title: str, gamma: np.ndarray) -> list[tuple[str, float, int, str]]:
     """Runs of one language within a title: (language, confidence, words, text)."""
     spans = [m.span() for m in WORD.finditer(CODED.sub(lambda m: " " * len(m[0]), title)) if not FOREIGN.search(m[0])]
     best = gamma.argmax(1)
@@ -278,6 +287,31 @@ def _title_segments(title: str, field: Field, gamma: np.ndarray) -> list[tuple[s
     return [(LANGS[x], float(gamma[at, x].mean()), len(at), title[spans[at[0]][0] : spans[at[-1]][1]]) for x, at in out]
 
 
+def _tagged(batches: Iterator[pd.DataFrame], weights: tuple) -> Iterator[tuple[pd.DataFrame, list, list]]:
+    """Parts of the batches (t, n) with (number, (language, confidence, words, text)) of the sentences of every text, and the
+    runs of every title."""
+    own = Field(weights[2])
+    own.weights, own.steps = weights[0], weights[1]
+    for whole in batches:
+        for a in range(0, len(whole), 2000):
+            batch = whole.iloc[a : a + 2000]
+            texts = []
+            pieces = [sentences(t) for t in batch["t"]]
+            split = [[words(s) for s in p] for p in pieces]
+            for p, ws, g in zip(pieces, split, own.label([[w for s in x for w in s] for x in split])):
+                found, at = [], 0
+                sums = np.concatenate((np.zeros((1, len(LANGS))), np.cumsum(g, axis=0)))
+                for n, (s, w) in enumerate(zip(p, ws)):
+                    if w:
+                        mean = (sums[at + len(w)] - sums[at]) / len(w)
+                        best = int(mean.argmax())
+                        found.append((n, (LANGS[best], float(mean[best]), len(w), s)))
+                    at += len(w)
+                texts.append(found)
+            names = [t or "" for t in batch["n"]]
+            yield batch, texts, [_title_segments(t, g) for t, g in zip(names, own.label([words(t) for t in names]))]
+
+
 def segments(records: DataFrame, record_id: str, text: str, title: str, field: Field) -> DataFrame:
     """record_id, field, segment, lang, confidence, n_words, piece: every sentence of the text and every run of one
     language within the title. Null and empty values have no segments; pieces without words (numbers, codes, table rows)
@@ -287,87 +321,76 @@ def segments(records: DataFrame, record_id: str, text: str, title: str, field: F
     kind = records.schema[record_id].dataType.simpleString()
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Field(weights.value[2])
-        own.weights, own.steps = weights.value[0], weights.value[1]
-        for whole in batches:
-            for a in range(0, len(whole), 2000):
-                batch = whole.iloc[a : a + 2000]
-                rows = []
-                pieces = [sentences(t) for t in batch["t"]]
-                split = [[words(s) for s in p] for p in pieces]
-                for rid, p, ws, g in zip(batch["i"], pieces, split, own.label([[w for s in x for w in s] for x in split])):
-                    at = 0
-                    for n, (s, w) in enumerate(zip(p, ws)):
-                        if w:
-                            mean = g[at : at + len(w)].mean(0)
-                            rows.append((rid, "text", n, LANGS[mean.argmax()], float(mean.max()), len(w), s))
-                        at += len(w)
-                names = [t or "" for t in batch["n"]]
-                for rid, t, g in zip(batch["i"], names, own.label([words(t) for t in names])):
-                    rows += [(rid, "title", n, *x) for n, x in enumerate(_title_segments(t, own, g))]
-                yield pd.DataFrame(rows, columns=["i", "field", "segment", "lang", "confidence", "n_words", "piece"])
+        for batch, texts, titles in _tagged(batches, weights.value):
+            rows = [(i, "text", n, *x) for i, found in zip(batch["i"], texts) for n, x in found]
+            rows += [(i, "title", n, *x) for i, found in zip(batch["i"], titles) for n, x in enumerate(found)]
+            yield pd.DataFrame(rows, columns=["i", "field", "segment", "lang", "confidence", "n_words", "piece"])
 
     rows = records.select(F.col(record_id).alias("i"), F.col(text).alias("t"), F.col(title).alias("n"))
     return rows.mapInPandas(tag, f"i {kind}, {SEGMENTS}").withColumnRenamed("i", record_id)
 
 
-def _squashed(text: str) -> str:
-    return "".join(words(text))
-
-
-def _near(a: str, b: str) -> bool:
-    """Whether two squashed titles differ by no more than a quarter of the longer one's letters."""
-    n = max(len(a), len(b))
-    if abs(len(a) - len(b)) > n // 4:
-        return False
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1] <= n // 4
+def section_languages(records: DataFrame, record_id: str, text: str, title: str, field: Field, least_words: int, confidence: float) -> DataFrame:
+    """``records`` with langs, the languages of full sentences of the text, and title_langs, those of the title's runs. A full
+    sentence has at least ``least_words`` words, is of its language with at least ``confidence`` and ends as one."""
+    weights = records.sparkSession.sparkContext.broadcast((field.weights.astype(np.float32), field.steps, field.lexicon))
 
-
-def two_titles(title: str, langs: set[str], known: dict[str, list[tuple[int, str]]]) -> list[str]:
-    """The two languages in which ``title`` gives one known title, one behind the other; none where it doesn't."""
-    ws = words(title)
-    for i in range(1, len(ws)):
-        left, right = "".join(ws[:i]), "".join(ws[i:])
-        for x in sorted(langs):
-            ids = [c for c, t in known.get(x, ()) if _near(left, t)]
-            for y in sorted(langs - {x}) if ids else ():
-                if any(c in ids and _near(right, t) for c, t in known.get(y, ())):
-                    return [x, y]
-    return []
+    def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Of the other columns nothing is known: they pass as they are.
+        for batch, texts, titles in _tagged((b.assign(t=b[text], n=b[title]) for b in batches), weights.value):
+            full = [sorted({x for _, (x, c, n, s) in found if n >= least_words and c >= confidence and s[-1] in ".!?"}) for found in texts]
+            runs = [sorted({x for x, c, *_ in found if c >= 0.5}) for found in titles]
+            yield batch.drop(columns=["t", "n"]).assign(langs=full, title_langs=runs)
+
+    schema = T.StructType([*records.schema.fields, T.StructField("langs", T.ArrayType(T.StringType())), T.StructField("title_langs", T.ArrayType(T.StringType()))])
+    return records.mapInPandas(tag, schema)
+
+
+def two_titles(titles: DataFrame, known: DataFrame) -> DataFrame:
+    """title, langs (two) of the rows of ``titles`` (title, langs) that give one entry of ``known`` (canon_id, lang, title) in two of
+    these languages, one behind the other. Both halves are led to titles by the partition join over edit distances, as
+    typed titles are; of several readings the one with the fewest edits counts. Nothing is collected."""
+    letters = lambda c: F.expr(canonical.folded(c))
+    squashed = lambda c: F.regexp_replace(c, r"[^\p{L}]", "")
+    split = titles.select("title", "langs").distinct().withColumn("w", F.filter(F.split(F.regexp_replace(letters("title"), r"(?<!\S)[^\s\d]*\d\S*", " "), r"[^\p{L}]+"), lambda w: w != ""))
+    at = split.where(F.size("w") > 1).select("title", "langs", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("i"))
+    halves = cut(at.select("title", "langs", "i", F.array_join(F.slice("w", F.lit(1), F.col("i")), "").alias("l"), F.array_join(F.slice("w", F.col("i") + 1, F.size("w")), "").alias("r")))
+    refs = known.select("canon_id", "lang", squashed(letters("title")).alias("ref")).where("canon_id is not null and lang is not null and ref <> ''").distinct()
+    allowed = refs.select(F.col("ref").alias("form")).distinct().withColumn("k", F.expr(canonical.EDITS))
+    forms = halves.select(F.col("l").alias("form")).unionByName(halves.select(F.col("r").alias("form"))).distinct()
+    near = cut(canonical.near(forms, allowed).join(refs, "ref").groupBy("form", "canon_id", "lang").agg(F.min("d").alias("d")))
+    side = lambda s: near.select(F.col("form").alias(s), "canon_id", F.col("lang").alias(f"{s}_lang"), F.col("d").alias(f"{s}_d"))
+    both = halves.join(side("l"), "l").where(F.array_contains("langs", F.col("l_lang"))).join(side("r"), ["r", "canon_id"])
+    both = both.where(F.array_contains("langs", F.col("r_lang")) & (F.col("l_lang") != F.col("r_lang")))
+    best = both.groupBy("title", "langs").agg(F.min(F.struct(F.expr("l_d + r_d").alias("d"), "i", "l_lang", "r_lang")).alias("b"))
+    return best.select("title", F.col("langs").alias("tagged"), F.array("b.l_lang", "b.r_lang").alias("langs"))
+
+
+def latest(sections: DataFrame) -> DataFrame:
+    """One row per section, the one that came last."""
+    one = sections.groupBy("section_uid").agg(F.max_by(F.struct("raw_title", "text_plain", "lang"), F.struct("ingested_at", "extracted_at")).alias("s"))
+    return one.select("section_uid", "s.*")
 
 
-def found(sections: DataFrame, canonical: DataFrame, least_words: int = 4, confidence: float = 0.6) -> DataFrame:
+def found(sections: DataFrame, known: DataFrame, least_words: int = 4, confidence: float = 0.6) -> DataFrame:
     """Languages of sections whose label is missing or wrong or whose text mixes languages, and of two-language titles.
 
     A full sentence has at least ``least_words`` words, is of its language with at least ``confidence`` and ends as one.
     """
-    one = sections.groupBy("section_uid").agg(F.max_by(F.struct("raw_title", "text_plain", "lang"), F.struct("ingested_at", "extracted_at")).alias("s"))
-    one = one.select("section_uid", "s.*")
-    field = model(one, "section_uid", "text_plain", "lang", canonical)
-    tagged = segments(one, "section_uid", "text_plain", "raw_title", field)
-    full = (F.col("field") == "text") & (F.col("n_words") >= least_words) & (F.col("confidence") >= confidence) & F.col("piece").rlike("[.!?]$")
-    by_section = tagged.groupBy("section_uid").agg(
-        F.collect_set(F.when(full, F.col("lang"))).alias("langs"),
-        F.collect_set(F.when((F.col("field") == "title") & (F.col("confidence") >= 0.5), F.col("lang"))).alias("title_langs"),
-    )
-    label = label_column(F.col("lang"))
-    cases = cut(by_section.join(one.select("section_uid", "raw_title", label.alias("label")), "section_uid"))
-    wrong = (F.size("langs") > 1) | (F.col("label") == "") | (F.size("langs") == 1) & (F.col("label") != F.element_at("langs", 1))
+    one = latest(sections)
+    field = model(one, "section_uid", "text_plain", "lang", known)
+    cases = cut(section_languages(one, "section_uid", "text_plain", "raw_title", field, least_words, confidence).drop("text_plain").withColumn("label", label_column(F.col("lang"))))
+    wrong = (F.size("langs") > 1) | (F.col("label") == "") | (F.size("langs") == 1) & (F.col("label") != F.try_element_at("langs", F.lit(1)))
     texts = cases.where((F.size("langs") > 0) & wrong).select("section_uid", F.lit("text_plain").alias("field"), F.explode("langs").alias("lang"))
-    rows = canonical.select("canon_id", "lang", "title").where("lang is not null and title is not null").orderBy("lang", "title").limit(10_000).collect()
-    known: dict[str, list[tuple[int, str]]] = {}
-    for r in rows:
-        known.setdefault(r["lang"], []).append((r["canon_id"], _squashed(r["title"])))
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            got = [(u, "raw_title", x) for u, t, ls in zip(batch["section_uid"], batch["raw_title"], batch["title_langs"]) for x in two_titles(t, set(ls), known)]
-            yield pd.DataFrame(got, columns=["section_uid", "field", "lang"])
-
-    several = cases.where((F.size("title_langs") > 1) & F.col("raw_title").isNotNull()).select("section_uid", "raw_title", "title_langs")
-    return texts.unionByName(several.mapInPandas(check, "section_uid BIGINT, field STRING, lang STRING"))
+    several = cases.where((F.size("title_langs") > 1) & F.col("raw_title").isNotNull()).select("section_uid", F.col("raw_title").alias("title"), F.col("title_langs").alias("tagged"))
+    named = two_titles(several.select("title", F.col("tagged").alias("langs")), known)
+    titles = several.join(named, ["title", "tagged"]).select("section_uid", F.lit("raw_title").alias("field"), F.explode("langs").alias("lang"))
+    return texts.unionByName(titles)
+
+
+def section_segments(sections: DataFrame, known: DataFrame) -> DataFrame:
+    """section_uid, field, segment, lang, confidence, n_words of every segment of every section: its sentences and the runs of one
+    language within its title."""
+    one = latest(sections)
+    field = model(one, "section_uid", "text_plain", "lang", known)
+    return segments(one, "section_uid", "text_plain", "raw_title", field).drop("piece")

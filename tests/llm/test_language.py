@@ -69,3 +69,29 @@ def test_held_out_accuracy():
     f = Q.train(list(zip(s.lang, s.text_plain)), list(zip(c.lang, c.title)))
     got = [Q.LANGS[g.sum(0).argmax()] for g in f.label([Q.words(t) for t in e.text])]
     assert sum(a == b for a, b in zip(got, e.lang)) / len(e) > 0.99
+
+
+def test_confidence_is_the_share_of_right_answers():
+    path = "/root/testdata/sf0.01"
+    try:
+        s, c = pq.read_table(f"{path}/sections.parquet").to_pandas().drop_duplicates("section_uid"), pq.read_table(f"{path}/canonical_titles.parquet").to_pandas()
+        e = pq.read_table(f"{path}/eval_items.parquet").to_pandas()
+    except FileNotFoundError:
+        pytest.skip("no test tables")
+    s = s[s.lang.isin(Q.LANGS) & s.text_plain.notna()]
+    f = Q.train(list(zip(s.lang, s.text_plain)), list(zip(c.lang, c.title)))
+    # Short pieces, whose confidence varies: three words each of passages with known languages.
+    pieces = [(w[i : i + 3], x) for t, x in zip(e.text, e.lang) for w in [Q.words(t)] for i in range(0, len(w) - 2, 3)]
+    means = [g.mean(0) for g in f.label([w for w, _ in pieces])]
+    sure = [float(m.max()) for m in means]
+    right = [Q.LANGS[m.argmax()] == x for m, (_, x) in zip(means, pieces)]
+    assert abs(sum(sure) / len(sure) - sum(right) / len(right)) < 0.05
+    low = [r for r, p in zip(right, sure) if p < 0.9]
+    assert not low or sum(low) / len(low) < sum(right) / len(right)
+
+
+def test_titles_in_two_languages(spark):
+    known = spark.createDataFrame([(i, x, t) for i, (x, t) in enumerate([("en", "zz")])] + [(7, x, t) for x, t in TITLES] + [(8, "en", "Care"), (8, "de", "Pflege"), (9, None, "x"), (None, "en", "y")], "canon_id int, lang string, title string")
+    rows = [("Safety instructions / Consignes de sécurité", ["en", "fr"]), ("Sicherheitshinweise (Safty instrutions)", ["de", "en"]), ("Care / Pflege", ["de", "en"]), ("Safety instructions / Pflege", ["de", "en"]), ("Safety instructions", ["en", "fr"]), ("", ["en", "fr"]), ("7 A-12", ["en", "fr"])]
+    got = {r.title: set(r.langs) for r in Q.two_titles(spark.createDataFrame(rows, "title string, langs array<string>"), known).collect()}
+    assert got == {rows[0][0]: {"en", "fr"}, rows[1][0]: {"de", "en"}, rows[2][0]: {"de", "en"}}
