@@ -192,7 +192,11 @@ def consistent(strings: DataFrame, text: str, keep: list[str]) -> DataFrame:
     schema = strings.select(*keep, text).schema.add("form", "string")
     if not members:
         return strings.sparkSession.createDataFrame([], schema)
-    firsts = "".join(sorted({f"\\x{{{ord(c):x}}}" for m in members for c in (m[-1:] if len(m) > 1 else m)}))
+    marks = sorted({c for m in members for c in (m[-1:] if len(m) > 1 else m)})
+    held = F.col(text).rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in marks) + "]")
+    if marks[0] > "\x7f":
+        # Texts of as many bytes as characters hold none of these; counting costs far less than the expression.
+        held = (F.length(text) < F.octet_length(text)) & held
 
     def change(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a = automaton(members)
@@ -201,7 +205,7 @@ def consistent(strings: DataFrame, text: str, keep: list[str]) -> DataFrame:
             changed = np.fromiter((f != t for f, t in zip(forms, batch[text])), bool, len(batch))
             yield batch.assign(form=forms)[changed]
 
-    return strings.select(*keep, text).where(F.col(text).rlike(f"[{firsts}]")).mapInPandas(change, schema)
+    return strings.select(*keep, text).where(held).mapInPandas(change, schema)
 
 
 def found(text_lines: DataFrame, sections: DataFrame) -> DataFrame:

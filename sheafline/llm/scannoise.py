@@ -2,11 +2,13 @@
 
 1. *Vocabulary*: one pass counts the words of all running text. Of words that look alike to a scanner the frequent one is
    trusted; a word is misread if it isn't trusted itself but a trusted word has its scanner's shape.
-2. *Pages*: lines are brought together by page and read in order. A page's first and last two lines are its edges; a
-   line there that holds only a page number is noise, any other is kept under the shape of its words, in sorted order.
+2. *Pages*: lines are brought together by page and read in order. A page's first and last two lines are its edges (``EDGE``); a
+   line there that holds only a number may be a page number, any other is kept under the shape of its words, in sorted order.
+   Numbers that rise with the pages of their PDF are its page numbers.
 3. *Headers*: a shape met at the edges of at least two pages of its PDF, and inside no more pages than that, is its running
    header, however long the PDF is; lines of sections and images of that shape are the header, too. Case, order, separators, page numbers and misread
-   characters don't matter; lines of a PDF whose shapes differ by a letter or two in one word count as one. An image is a page by itself: its header is a short line made of words of running headers.
+   characters don't matter; lines of a PDF whose shapes differ by a letter or two in one word count as one. An image is a page
+   by itself: its header is a short line made of words of its PDF's running headers, or as a whole one of some PDF.
 4. *Cut words*: a line's last word with a hyphen goes on in the next line of the text, over page numbers and headers. The
    vocabulary decides how: a known whole is closed up; else a conjunction is kept apart ("left- and right-hand"), two
    known words keep their hyphen and anything else is closed up. ``found`` and ``paragraphs`` share this rule.
@@ -47,6 +49,9 @@ LETTERS = re.compile(r"[^\W\d_]+")
 LAST_LETTERS = re.compile(rf"[^\W\d_]+(?=[{HYPHENS}]$)")
 SHAPED = re.compile(r"[^\W_]+")
 CODE = re.compile(r"^[A-Z]{1,4}(?:-[A-Z]{1,3})*-?[0-9]+$|^[0-9]+[A-Z]*$")
+#: Lines at a page's top and bottom that may be running lines; words and letters of a running line, and the longest line of a page
+#: number and of an image's or a section's header. On sf0.1 1 or 3 edge lines, 12 words or 4 letters give the same rows.
+EDGE, MOST_WORDS, LEAST_LETTERS, LONGEST_NUMBER, LONGEST_HEADER = 2, 8, 5, 24, 60
 ENDS = ".,;:!?()[]{}\"«»|*•…"
 ODD = re.compile(r"[^\x00-\x7f¡-ÿŒœ‐-‟•…]")
 # A soft hyphen at a line's end cuts a word: it stays.
@@ -71,17 +76,17 @@ def shape(word: str) -> str:
 
 def line_key(line: str) -> str:
     """The shapes of a line's words in sorted order, numbers left out; '' if it can't be a running line: no or more than
-    eight words, or it ends like a sentence."""
+    ``MOST_WORDS`` words, or it ends like a sentence."""
     line = line.strip()
     if not line or line[-1] in ".,;:!?" or CUT.search(line):
         return ""
     ws = [w for w in SHAPED.findall(line) if not (len(w) < 5 and all(c in "0123456789lIoO" for c in w))]
-    return " ".join(sorted(map(shape, ws))) if 1 <= len(ws) <= 8 and sum(map(len, ws)) >= 5 else ""
+    return " ".join(sorted(map(shape, ws))) if 1 <= len(ws) <= MOST_WORDS and sum(map(len, ws)) >= LEAST_LETTERS else ""
 
 
 def page_number(line: str) -> str | None:
     """The number of a line that holds nothing else, else None."""
-    if len(line) > 24:
+    if len(line) > LONGEST_NUMBER:
         return None
     bare = AROUND.sub("", line)
     if not bare or not PAGE_NUMBER.fullmatch(bare):
@@ -92,6 +97,11 @@ def page_number(line: str) -> str | None:
     return n[0].translate(str.maketrans("lIoO", "1100"))
 
 
+def _numbered(line: str, number: str) -> str:
+    """A page number with a mark behind it if its form says that it is one ("Page 3", "- 3 -"), as a bare number doesn't."""
+    return number if line.strip().isalnum() else number + "!"
+
+
 def tries(word: str) -> list[str]:
     """The shapes of what a scanner may have turned into ``word`` (lower case), the likeliest first."""
     out = [shape(word)]
@@ -302,12 +312,13 @@ def _joint(before: str, after: str | None, known: Vocabulary) -> str | None:
 def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
     """Rows of the lines of one page in order: (uid, doc, page, text, heading, scanned)."""
     last = len(lines) - 1
-    edges = {0, 1, last - 1, last}
+    edges = {*range(EDGE), *range(last - EDGE + 1, last + 1)}
     cut_from: tuple[int, str, str] | None = None
     for i, (uid, doc, page, text, heading, scanned) in enumerate(lines):
         text = consistent(text or "").strip()
-        if not heading and i in edges and page_number(text) is not None:
-            yield "line", uid, "page_number", doc, page, None
+        number = page_number(text) if not heading and i in edges else None
+        if number is not None:
+            yield "line", uid, "page_number", doc, page, _numbered(text, number)
             continue
         key = line_key(text) if not heading else ""
         if key:
@@ -357,12 +368,12 @@ def _kinds(kind: str, lines: list[str], first: int | None, final: int | None) ->
     kinds: list[str] = []
     keys: list[str] = []
     for line in lines:
-        n = page_number(line) if line and len(line) <= 24 else None
+        n = page_number(line) if line and len(line) <= LONGEST_NUMBER else None
         if n is not None and line.isalnum() and kind == "section":
             # A bare number is a page's only where the section is.
             n = n if first is not None and final is not None and n.isdigit() and first <= int(n) <= final + 1 else None
-        key = line_key(line) if n is None and len(line) <= 60 and " | " not in line.replace(" | ", "  ", 1) else ""
-        kinds.append("number" if n is not None else "short" if key and len(key.split()) <= 6 else "")
+        key = line_key(line) if n is None and len(line) <= LONGEST_HEADER and " | " not in line.replace(" | ", "  ", 1) else ""
+        kinds.append("number" if n is not None else "short" if key else "")
         keys.append(key if kinds[-1] else "")
     return kinds, keys
 
@@ -373,10 +384,11 @@ def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: in
     kinds, keys = _kinds(kind, lines, first, final)
     last = len(lines) - 1
     if "number" in kinds:
-        yield kind, uid, "page_number", doc, page, None
+        line = lines[kinds.index("number")]
+        yield kind, uid, "page_number", doc, page, _numbered(line, page_number(line))
     for i, key in enumerate(keys):
         if key:
-            at_edge = kind == "image" and (i <= 1 or i >= last - 1)
+            at_edge = kind == "image" and (i < EDGE or i > last - EDGE)
             yield kind, uid, "edge" if at_edge else "short", doc, page, key
     cut_word = False
     for i, line in enumerate(lines):
@@ -516,15 +528,36 @@ def _heads(rows: DataFrame, pages: int) -> DataFrame:
     return cut(heads.join(inner, ["doc_id", "key"], "left").where("coalesce(inside, 0) <= n").select("doc_id", "key"))
 
 
+def page_numbers(rows: DataFrame) -> DataFrame:
+    """record_type, record_id of the page numbers: lines whose numbers rise with the pages of their PDF.
+
+    Number less page is the same along a sequence. Where two or more pages of a PDF agree in it, a bare number that is in no
+    such sequence is none; where no two pages agree, there is nothing to hold it against. Sections were held against their
+    own pages; an image is a page by itself, whose own number need not be that of the page it stands on."""
+    all_numbers = rows.where("kind = 'page_number'")
+    seen = all_numbers.where("record_type = 'line'").select(*_IDS, "doc_id", "page", F.regexp_replace("key", "!$", "").cast("bigint").alias("v"), F.endswith("key", F.lit("!")).alias("named"))
+    seen = seen.withColumn("lag", F.col("v") - F.col("page"))
+    pages = seen.groupBy("doc_id", "lag").agg(F.count_distinct("page").alias("n"))
+    agree = pages.where("n > 1")
+    some = agree.select("doc_id").distinct().withColumn("some", F.lit(True))
+    judged = seen.join(agree, ["doc_id", "lag"], "left").join(some, "doc_id", "left").where("named or n is not null or some is null or doc_id is null or page is null")
+    return judged.select(*_IDS).unionByName(all_numbers.where("record_type <> 'line'").select(*_IDS)).distinct()
+
+
 def _headers(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """record_type, record_id, key of the lines that are running headers; a record may have several."""
     of_pdf = rows.where("kind in ('edge', 'short') and record_type <> 'image'").join(heads, ["doc_id", "key"], "left_semi")
-    # A scanned page's own header: a short line of an image, two or more words, all of them words of running headers.
-    known = heads.select(F.explode(F.split("key", " ")).alias("w")).distinct()
-    short = rows.where("kind in ('edge', 'short') and record_type = 'image'").select(*_IDS, "key").distinct()
-    words = short.select(*_IDS, "key", F.size(F.split("key", " ")).alias("n"), F.explode(F.array_distinct(F.split("key", " "))).alias("w"))
-    of_image = words.join(known, "w").groupBy(*_IDS, "key").agg(F.count("*").alias("met"), F.max("n").alias("n")).where("n >= 2 and met = n")
-    return of_pdf.select(*_IDS, "key").unionByName(of_image.select(*_IDS, "key")).distinct()
+    # A scanned page's own header: a short line of an image whose words are all in running headers of its PDF, or which is as a
+    # whole the running header of some PDF: PDFs of which only images are at hand share their makers' headers.
+    of_images = rows.where("kind in ('edge', 'short') and record_type = 'image'").select(*_IDS, "doc_id", "page", "kind", "key")
+    known = heads.select("doc_id", F.explode(F.split("key", " ")).alias("w")).distinct()
+    ws = F.array_distinct(F.split("key", " "))
+    words = of_images.select(*_IDS, "doc_id", "key", F.size(ws).alias("n"), F.explode(ws).alias("w")).distinct()
+    by_words = words.join(known, ["doc_id", "w"]).groupBy(*_IDS, "key").agg(F.count("*").alias("met"), F.max("n").alias("n")).where("n >= 2 and met = n")
+    anywhere = heads.where(F.instr("key", " ") > 0).select("key").distinct()
+    by_whole = of_images.join(anywhere, "key", "left_semi")
+    of_image = by_words.select(*_IDS, "key").unionByName(by_whole.select(*_IDS, "key"))
+    return of_pdf.select(*_IDS, "key").unionByName(of_image).distinct()
 
 
 def _goes_on_over(pairs: DataFrame, book: Book) -> DataFrame:
@@ -565,7 +598,7 @@ def found(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pages:
     across = _goes_on_over(opened.join(starts, ["doc_id", "page"]).select(*_IDS, "tail", "head"), book).select(*_IDS, F.lit("hyphen").alias("kind"))
     misread = rows.where("kind = 'misread'").join(heads, ["doc_id", "key"], "left_anti")
     misread = misread.join(headers.where("record_type = 'image'"), [*_IDS, "key"], "left_anti").select(*_IDS, "kind")
-    plain = rows.where("kind in ('hyphen', 'page_number')").select(*_IDS, "kind")
+    plain = rows.where("kind = 'hyphen'").select(*_IDS, "kind").unionByName(page_numbers(rows).withColumn("kind", F.lit("page_number")))
     header = headers.select(*_IDS, F.lit("header").alias("kind"))
     return plain.unionByName(misread).unionByName(header).unionByName(across).distinct()
 
@@ -622,13 +655,11 @@ def repaired(text: str, known: Vocabulary, headers: frozenset[str] = frozenset()
 
 
 def _page_text(lines: list[tuple], known: Vocabulary) -> tuple[str, str | None, int, str | None, int, bool]:
-    """The text of a page's lines (uid, doc, page, line_no, text, heading, scanned, header); its first word if it is running text and
+    """The text of a page's lines (uid, doc, page, line_no, text, heading, scanned, noise); its first word if it is running text and
     the length it has there, its last word if it is cut and the length; whether the last was scanned."""
-    last = len(lines) - 1
     items = []
-    for i, (_, _, _, _, text, heading, scanned, header) in enumerate(lines):
+    for _, _, _, _, text, heading, scanned, noise in lines:
         text = consistent(text or "").strip()
-        noise = header or not heading and i in {0, 1, last - 1, last} and page_number(text) is not None
         items.append((text, "noise" if noise else "apart" if heading else "", scanned))
     flowed = _flowed(items, known)
     parts = [_written(p, known) for _, p in flowed]
@@ -671,7 +702,8 @@ def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pa
 
         return work
 
-    flag = headers.where("record_type = 'line'").select(F.col("record_id").alias("line_uid"), F.lit(True).alias("header")).distinct()
+    noise = headers.where("record_type = 'line'").select("record_id").unionByName(page_numbers(rows).where("record_type = 'line'").select("record_id"))
+    flag = noise.select(F.col("record_id").alias("line_uid"), F.lit(True).alias("header")).distinct()
     lines = _lines(text_lines).join(flag, "line_uid", "left").withColumn("header", F.coalesce("header", F.lit(False)))
     lines = lines.select("line_uid", "doc_id", "page", "line_no", "text", "heading", "scanned", "header")
     schema = "doc_id STRING, page INT, text STRING, head STRING, head_len INT, tail STRING, tail_len INT, scanned BOOLEAN"
