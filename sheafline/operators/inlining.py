@@ -73,12 +73,23 @@ def _decoded(value: object) -> object:
     return value
 
 
-def _parsed(payload: object) -> dict | None:
+def _read(payload: object) -> tuple[dict | None, str | None]:
+    """(the record, None), or (None, why it can't be read)."""
+    if not isinstance(payload, str) or not payload.strip():
+        return None, "empty"
     try:
-        value = json.loads(payload) if isinstance(payload, str) else None
-    except (ValueError, RecursionError):
-        return None
-    return value if isinstance(value, dict) else {ROOT: value} if isinstance(value, list) else None
+        value = json.loads(payload)
+    except ValueError:
+        return None, "not JSON"
+    except RecursionError:
+        return None, "nested too deep"
+    if isinstance(value, (dict, list)):
+        return (value if isinstance(value, dict) else {ROOT: value}), None
+    return None, "no object"
+
+
+def _parsed(payload: object) -> dict | None:
+    return _read(payload)[0]
 
 
 def _edges(name: str, value: object, naming: Naming, found: dict) -> None:
@@ -195,7 +206,7 @@ def shred(
 
     A field that is a list anywhere in the collection is read as a list everywhere: a bare object counts as a list of
     one, a string that encodes a list is decoded, null or a missing field is an empty list. Payloads that are null,
-    empty or unreadable give no rows. A null element of a list keeps its position and gets a node with only ``value``
+    empty or unreadable give no rows; ``rejected`` names them. A null element of a list keeps its position and gets a node with only ``value``
     null. Rows of ``df`` repeating a key are shredded each; use ``latest_payloads`` first where they are redeliveries.
     """
     by, relations = {(e.parent, e.child): e for e in edges}, relations_of(edges)
@@ -220,6 +231,19 @@ def shred(
     return df.select(key.cast("string").alias("k"), F.col(payload).alias("p")).mapInPandas(walk, NODE_SCHEMA)
 
 
+def rejected(df: DataFrame, key: str, payload: str) -> DataFrame:
+    """key, reason of every row whose payload gives no nodes: empty, not JSON, no object, or nested too deep (some thousands of
+    levels, which would also make every node's lineage that long)."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            why = [_read(p)[1] for p in batch["_p"]]
+            yield pd.DataFrame({key: batch[key], "reason": why}).loc[[w is not None for w in why]]
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, F.col(payload).alias("_p")).mapInPandas(check, f"{key} {kind}, reason STRING")
+
+
 def latest_payloads(df: DataFrame, key: str, payload: str, at: str) -> DataFrame:
     """One row per key: the payload that arrived last (ties: the greatest). Rows without a key stay apart by payload."""
     return (
@@ -254,6 +278,18 @@ def raw_record_nodes(records: DataFrame, only: set[str] | None = None) -> DataFr
     return shred(latest, "key", "payload", edges, RAW_RECORDS, only)
 
 
+def raw_record_relations(records: DataFrame) -> DataFrame:
+    """record_id, relation, node_id, parent_relation, parent_node, pos, attrs (as JSON) of every node of every relation."""
+    return raw_record_nodes(records).select(
+        F.col("record_key").cast("bigint").alias("record_id"), "relation", "node_id", "parent_relation", "parent_node", "pos", F.to_json("attrs").alias("attrs")
+    )
+
+
+def raw_record_rejects(records: DataFrame) -> DataFrame:
+    """record_id, reason of the records whose latest payload can't be read."""
+    return rejected(latest_payloads(records, "record_id", "payload", "received_at"), "key", "payload").select(F.col("key").alias("record_id"), "reason")
+
+
 def found(records: DataFrame) -> DataFrame:
     """Text items of sections, their table rows and the rows of the payloads' own tables, each with its parent."""
     at = lambda i, what: F.element_at("lineage", i)[what]

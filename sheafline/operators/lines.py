@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from sheafline.config import CONTENTS_TITLES, DEFAULT, HEADER_SHAPES, INDEX_LINE, NUMBERED, SECTION_STARTS, Config
 from sheafline.functions import text as X
+from sheafline.session import cut
 
 PAGE = ("doc_id", "page")
 
@@ -117,22 +118,24 @@ def detect_columns(lines: DataFrame, width: Column | None = None, config: Config
     return placed.withColumn("column_id", column.cast("int")).drop("splits", "width", "_prose", "_splits")
 
 
-def first_seen_mode(lines: DataFrame, value: Column, name: str, keep: Column) -> DataFrame:
-    """The most frequent value of each page; of equally frequent ones the one met first. Pages without any have no row."""
-    counts = lines.where(keep).groupBy(*PAGE, value.alias("v")).agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
-    return counts.groupBy(*PAGE).agg(F.max_by("v", F.struct("n", -F.col("first"))).alias(name))
-
-
 def body_font(lines: DataFrame) -> DataFrame:
     """doc_id, page, body_size, body_font of every page: the usual size (to 0.1, positive ones) and font (of lines that
-    aren't bold, else of all); 0 and '' where none is known."""
-    named = F.coalesce("font_name", F.lit("")) != ""
-    size = first_seen_mode(lines, F.round("font_size_avg", 1), "body_size", F.col("font_size_avg") > 0)
-    plain = first_seen_mode(lines, F.col("font_name"), "plain", named & ~F.coalesce("is_bold", F.lit(False)))
-    any_font = first_seen_mode(lines, F.col("font_name"), "any", named)
-    pages = lines.select(*PAGE).distinct()
-    joined = pages.join(size, [*PAGE], "left").join(plain, [*PAGE], "left").join(any_font, [*PAGE], "left")
-    return joined.select(*PAGE, F.coalesce("body_size", F.lit(0.0)).alias("body_size"), F.coalesce("plain", "any", F.lit("")).alias("body_font"))
+    aren't bold, else of all), of equally frequent ones the one met first; 0 and '' where none is known.
+
+    Every line counts once for its page, size, plain font and font, so one count and one choice by page give all of them."""
+    size, name = F.round("font_size_avg", 1), F.when(F.coalesce("font_name", F.lit("")) != "", F.col("font_name"))
+    no_size, no_name = F.lit(None).cast("double"), F.lit(None).cast("string")
+    vote = lambda kind, v, f: F.struct(F.lit(kind).alias("kind"), v.alias("v"), f.alias("f"))
+    votes = F.array(
+        vote("page", no_size, no_name),
+        F.when(F.col("font_size_avg") > 0, vote("size", size, no_name)),
+        F.when(~F.coalesce("is_bold", F.lit(False)), vote("plain", no_size, name)),
+        vote("any", no_size, name),
+    )
+    counts = lines.select(*PAGE, "line_no", F.explode(votes).alias("vote")).where("vote is not null").groupBy(*PAGE, "vote").agg(F.count("*").alias("n"), F.min("line_no").alias("first"))
+    usual = lambda kind, value: F.max_by(f"vote.{value}", F.when((F.col("vote.kind") == kind) & F.col(f"vote.{value}").isNotNull(), F.struct("n", -F.col("first"))))
+    modes = counts.groupBy(*PAGE).agg(usual("size", "v").alias("size"), usual("plain", "f").alias("plain"), usual("any", "f").alias("any"))
+    return modes.select(*PAGE, F.coalesce("size", F.lit(0.0)).alias("body_size"), F.coalesce("plain", "any", F.lit("")).alias("body_font"))
 
 
 def upper_median(x: str = "x0") -> Column:
@@ -153,7 +156,8 @@ def index_page(lines: DataFrame, config: Config = DEFAULT) -> DataFrame:
     pages = lines.groupBy(*PAGE).agg(
         F.avg(entry.cast("int")).alias("share"), F.bool_or(title).alias("titled"), F.max("x1").alias("width"), F.array_sort(middle).alias("numbers")
     )
-    # Rows matter only on pages that bear a contents title.
+    # One row per page, read three times below. Rows matter only on pages that bear a contents title.
+    pages = cut(pages)
     bearing = lines.join(pages.where("titled").select(*PAGE), [*PAGE], "left_semi")
     rows = anchored_rows(bearing, reach=config.row_anchor).join(bearing.select(*PAGE, "line_no", "x0", "x1", text.alias("t"), number.alias("number")), [*PAGE, "line_no"])
     word = ~F.col("number") & (F.length("t") >= 3)

@@ -41,12 +41,18 @@ def sections_of(spark: SparkSession, d: str) -> DataFrame:
     return one.select("section_uid", "s.*").withColumn("section_no", F.regexp_extract("section_id", "[0-9]+", 0).try_cast("int"))
 
 
+def _one_each(df: DataFrame, uid: str) -> DataFrame:
+    """One row per id, by the greatest of its other columns: redeliveries of tables and images carry no time."""
+    rest = [c for c in df.columns if c != uid]
+    return df.groupBy(uid).agg(F.max(F.struct(*rest)).alias("x")).select(uid, "x.*")
+
+
 def tables_of(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "table_blocks").dropDuplicates(["table_uid"])
+    return _one_each(table(spark, d, "table_blocks"), "table_uid")
 
 
 def images_of(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "image_blocks").dropDuplicates(["image_uid"])
+    return _one_each(table(spark, d, "image_blocks"), "image_uid")
 
 
 _SPACES = X.SPACES
@@ -55,8 +61,8 @@ SECTIONS = (
     "s AS (SELECT *, TRY_CAST(regexp_extract(section_id, '[0-9]+') AS INT) AS section_no FROM sections "
     "QUALIFY row_number() OVER (PARTITION BY section_uid ORDER BY ingested_at DESC, extracted_at DESC) = 1)"
 )
-TABLES = "t AS (SELECT * FROM table_blocks QUALIFY row_number() OVER (PARTITION BY table_uid) = 1)"
-IMAGES = "i AS (SELECT * FROM image_blocks QUALIFY row_number() OVER (PARTITION BY image_uid) = 1)"
+TABLES = "t AS (SELECT * FROM table_blocks QUALIFY row_number() OVER (PARTITION BY table_uid ORDER BY doc_id DESC NULLS LAST, table_id DESC NULLS LAST, page DESC NULLS LAST, x0 DESC NULLS LAST, y0 DESC NULLS LAST, x1 DESC NULLS LAST, y1 DESC NULLS LAST, section_title_guess DESC NULLS LAST) = 1)"
+IMAGES = "i AS (SELECT * FROM image_blocks QUALIFY row_number() OVER (PARTITION BY image_uid ORDER BY doc_id DESC NULLS LAST, image_id DESC NULLS LAST, page DESC NULLS LAST, x0 DESC NULLS LAST, y0 DESC NULLS LAST, x1 DESC NULLS LAST, y1 DESC NULLS LAST, width DESC NULLS LAST, height DESC NULLS LAST, path DESC NULLS LAST, ocr_text DESC NULLS LAST) = 1)"
 ROWS = (
     "r0 AS (SELECT *, CASE WHEN abs(y0 - lag(y0) OVER w) <= 10 THEN 0 ELSE 1 END AS fresh FROM l WINDOW w AS (PARTITION BY doc_id, page, column_id ORDER BY y0, x0, line_no)), "
     "r AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, page, column_id ORDER BY y0, x0, line_no ROWS UNBOUNDED PRECEDING) AS row_no FROM r0)"
@@ -233,28 +239,56 @@ def contents_entries(spark, d):
 
 
 ORDER = "o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page, column_id, round(y0, 1), round(x0, 1), line_no) AS pos FROM l), oo AS (SELECT *, sum(CASE WHEN header_level = 'section_header' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS grp FROM o)"
-GROUPS = """gg AS (SELECT doc_id, grp, count(*) FILTER (header_level <> 'section_header') AS items, arg_min(text, pos) FILTER (header_level = 'section_header') AS title,
-    arg_min(page, pos) AS first_page, arg_max(page, pos) AS last_page FROM oo GROUP BY ALL),
-  gn AS (SELECT *, lead(first_page) OVER (PARTITION BY doc_id ORDER BY grp) AS next_page FROM gg),
-  gs AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY grp) AS section_no, CASE WHEN grp = 0 THEN 'OPENING' ELSE trim(title) END AS raw_title FROM gn WHERE items > 0)"""
-
-
-@query("segmented_sections", f"WITH {LINES}, {ORDER}, {GROUPS} SELECT doc_id, 'sec_' || section_no AS section_id, CAST(first_page + 1 AS INT) AS page_start, CAST(coalesce(next_page, last_page) + 1 AS INT) AS page_end, raw_title, {_normal('raw_title')} AS normalized_title, items FROM gs")
+_NULLS = "NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL, NULL"
+SEGMENTS = f"""{LINES}, {TABLES}, {IMAGES}, {INDEX},
+  kl AS (SELECT l.* FROM l JOIN ix USING (doc_id, page) WHERE NOT is_index), kt AS (SELECT t.* FROM t LEFT JOIN ix USING (doc_id, page) WHERE NOT coalesce(is_index, false)),
+  ki AS (SELECT i.* FROM i LEFT JOIN ix USING (doc_id, page) WHERE NOT coalesce(is_index, false) AND ocr_text <> ''),
+  inn AS (SELECT k.doc_id, k.page, k.line_no, arg_min(t.y0, t.table_id) AS ttop FROM kl k JOIN kt t ON k.doc_id = t.doc_id AND k.page = t.page AND k.x0 >= t.x0 AND k.y0 >= t.y0 AND k.x1 <= t.x1 AND k.y1 <= t.y1 GROUP BY ALL),
+  o AS (SELECT kl.*, coalesce(header_level, 'non_header') AS lv, ttop, ttop IS NOT NULL AS inside, row_number() OVER (PARTITION BY doc_id ORDER BY page, column_id, round(y0, 1), round(x0, 1), line_no) AS pos FROM kl LEFT JOIN inn USING (doc_id, page, line_no)),
+  oo AS (SELECT *, count(*) FILTER (lv = 'section_header') OVER (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS grp FROM o),
+  el AS (SELECT *, CASE WHEN inside THEN ttop - 0.001 ELSE y0 END AS reach, grp - (lv = 'section_header')::INT AS before FROM oo WHERE lv = 'section_header' OR NOT inside),
+  ow AS (SELECT t.doc_id, t.page, t.table_id, min(el.pos) AS pos, arg_min(el.before, el.pos) AS grp FROM kt t JOIN el ON t.doc_id = el.doc_id AND t.page = el.page AND el.reach >= t.y0 GROUP BY ALL),
+  la AS (SELECT doc_id, max(grp) AS last_grp, arg_max(page, pos) AS last_page, arg_min(page, pos) AS first_page FROM oo GROUP BY doc_id),
+  tt AS (SELECT *, min(y0) OVER (PARTITION BY doc_id, page) AS page_top FROM kt),
+  it AS (SELECT doc_id, grp, pos AS p, 1 AS kind, 0.0 AS a, 0.0 AS b, '' AS c, CASE WHEN lv = 'subheader' THEN 'subheader' ELSE 'text' END AS type, page, line_no, NULL AS id, column_id, text, x0, y0, x1, y1, NULL::VARCHAR[] AS columns, NULL::VARCHAR[][] AS rows
+      FROM oo WHERE lv <> 'section_header' AND NOT inside
+    UNION ALL SELECT doc_id, coalesce(ow.grp, last_grp), coalesce(ow.pos, 4611686018427387904), 0, CASE WHEN ow.pos IS NULL THEN page_top ELSE tt.y0 END, CASE WHEN ow.pos IS NULL THEN tt.y0 ELSE 0 END, table_id, 'table_text', page, NULL, table_id, NULL, NULL, tt.x0, tt.y0, tt.x1, tt.y1, tt.columns, tt.rows
+      FROM tt JOIN la USING (doc_id) LEFT JOIN ow USING (doc_id, page, table_id)),
+  gg AS (SELECT doc_id, grp, arg_min(text, pos) FILTER (lv = 'section_header') AS title, arg_min(page, pos) AS start FROM oo GROUP BY ALL UNION ALL SELECT doc_id, 0, NULL, first_page FROM la WHERE doc_id NOT IN (SELECT doc_id FROM oo WHERE grp = 0)),
+  gn AS (SELECT *, lead(start) OVER (PARTITION BY doc_id ORDER BY grp) AS next_page FROM gg), cn AS (SELECT doc_id, grp, count(*) AS items FROM it GROUP BY ALL),
+  gs AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY grp) AS section_no, CASE WHEN grp = 0 THEN 'OPENING' WHEN grp = last_grp AND trim(title) = 'OPENING' THEN 'CLOSING' ELSE trim(title) END AS raw_title,
+    CASE WHEN grp = 0 THEN first_page ELSE start END + 1 AS page_start, coalesce(next_page, last_page) + 1 AS page_end FROM gn JOIN cn USING (doc_id, grp) JOIN la USING (doc_id)),
+  im AS (SELECT ki.doc_id, ki.image_id, ki.page, ki.ocr_text, min(section_no) AS section_no FROM ki JOIN gs ON ki.doc_id = gs.doc_id AND ki.page + 1 BETWEEN page_start AND page_end GROUP BY ALL),
+  al AS (SELECT section_no, it.* EXCLUDE (grp) FROM it JOIN gs USING (doc_id, grp) UNION ALL SELECT section_no, doc_id, 4611686018427387904, 1, page, 0, image_id, 'image_ocr', page, NULL, image_id, NULL, ocr_text, {_NULLS} FROM im),
+  nu AS (SELECT *, row_number() OVER (PARTITION BY doc_id, section_no ORDER BY p, kind, a, b, c) AS item_no FROM al)"""
+
+
+def _segments(spark, d):
+    """Sections and items of lines, tables and images, without contents pages."""
+    lines = lines_of(spark, d)
+    return S.segment(lines, tables_of(spark, d), images_of(spark, d), L.index_page(lines).where("is_index"))
+
+
+@query("segmented_sections", f"WITH {SEGMENTS} SELECT doc_id, 'sec_' || section_no AS section_id, CAST(page_start AS INT) AS page_start, CAST(page_end AS INT) AS page_end, raw_title, {_normal('raw_title')} AS normalized_title, items FROM gs")
 def segmented_sections(spark, d):
-    return S.sections(S.reading_order(lines_of(spark, d))).drop("grp", "section_no")
+    return _segments(spark, d)[0].drop("grp", "section_no")
 
 
-@query("section_items", f"WITH {LINES}, {ORDER}, {GROUPS} SELECT oo.doc_id, CAST(section_no AS INT) AS section_no, CAST(row_number() OVER (PARTITION BY oo.doc_id, section_no ORDER BY pos) AS INT) AS item_no, oo.page, line_no FROM oo JOIN gs USING (doc_id, grp) WHERE header_level <> 'section_header'")
+@query("section_items", f"WITH {SEGMENTS} SELECT doc_id, CAST(section_no AS INT) AS section_no, CAST(item_no AS INT) AS item_no, type, page, CAST(line_no AS INT) AS line_no, id FROM nu")
 def section_items(spark, d):
-    return S.section_items(S.reading_order(lines_of(spark, d))).select("doc_id", F.col("section_no").cast("int").alias("section_no"), F.col("item_no").cast("int").alias("item_no"), "page", "line_no")
+    return _segments(spark, d)[1].select("doc_id", F.col("section_no").cast("int").alias("section_no"), F.col("item_no").cast("int").alias("item_no"), "type", "page", "line_no", "id")
+
+
+_GRID = """CASE WHEN len(coalesce(columns, [])) + len(coalesce(rows, [])) > 0 THEN chr(10) || array_to_string(list_concat(CASE WHEN len(coalesce(columns, [])) > 0 THEN [array_to_string(list_transform(columns, lambda x: coalesce(x, '')), ' | '), repeat('-', greatest(20, CAST(coalesce(list_sum(list_transform(columns, lambda x: length(coalesce(x, '')) + 3)), 0) AS INT)))] ELSE [] END,
+  list_transform(list_filter(coalesce(rows, []), lambda r: r IS NOT NULL), lambda r: array_to_string(list_transform(r, lambda x: coalesce(x, '')), ' | '))), chr(10)) || chr(10) END"""
 
 
-@query("section_text", f"""WITH {LINES}, {ORDER}, {GROUPS}, it AS (SELECT oo.*, section_no, lag(column_id) OVER w AS lc, lag(oo.page) OVER w AS lp, lag(y1) OVER w AS ly FROM oo JOIN gs USING (doc_id, grp) WHERE header_level <> 'section_header'
-    WINDOW w AS (PARTITION BY oo.doc_id, section_no ORDER BY pos)),
-  pt AS (SELECT doc_id, section_no, pos, CASE WHEN header_level = 'subheader' OR coalesce(column_id <> lc OR page <> lp OR (page = lp AND y1 - y0 > 0 AND y0 - ly > 1.5 * (y1 - y0)), false) THEN chr(10) || trim(text) ELSE trim(text) END AS part FROM it)
-SELECT doc_id, CAST(section_no AS INT) AS section_no, regexp_replace(string_agg(part, chr(10) ORDER BY pos), '^\\s+|\\s+$', '', 'g') AS text_plain FROM pt GROUP BY ALL""")
+@query("section_text", f"""WITH {SEGMENTS}, pv AS (SELECT *, last_value(CASE WHEN type IN ('text', 'subheader') THEN {{'c': column_id, 'p': page, 'y': y1}} END IGNORE NULLS) OVER (PARTITION BY doc_id, section_no ORDER BY item_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b4 FROM nu),
+  pt AS (SELECT doc_id, section_no, item_no, CASE WHEN type = 'table_text' THEN {_GRID} WHEN type = 'image_ocr' THEN CASE WHEN trim(text) <> '' THEN chr(10) || '[OCR] ' || trim(text) END
+    WHEN type = 'subheader' OR coalesce(column_id <> b4.c OR page <> b4.p OR (page = b4.p AND y1 - y0 > 0 AND y0 - b4.y > 1.5 * (y1 - y0)), false) THEN chr(10) || trim(text) ELSE trim(text) END AS part FROM pv)
+SELECT doc_id, CAST(section_no AS INT) AS section_no, regexp_replace(coalesce(string_agg(part, chr(10) ORDER BY item_no), ''), '^\\s+|\\s+$', '', 'g') AS text_plain FROM pt GROUP BY ALL""")
 def section_text(spark, d):
-    return S.section_text(S.section_items(S.reading_order(lines_of(spark, d)))).select("doc_id", F.col("section_no").cast("int").alias("section_no"), "text_plain")
+    return S.section_text(_segments(spark, d)[1]).select("doc_id", F.col("section_no").cast("int").alias("section_no"), "text_plain")
 
 
 @query("carried_title", f"""WITH {LINES}, c AS (SELECT doc_id, page, arg_min(text, line_no) FILTER (header_level = 'section_header') AS t FROM l GROUP BY ALL)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import io
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -35,11 +37,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut by a reliable checkpoint.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a session without one gets a
-    temporary folder, which is right for local tests alone.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``. A local session without one gets a temporary
+    folder, removed when the process ends; on a cluster a missing folder is an error, as executors would not share it.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="sheafline-"))
+        if named is None and not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        if named is None:
+            named = tempfile.mkdtemp(prefix="sheafline-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
     return df.checkpoint()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sheafline.functions import text as X
@@ -24,16 +24,21 @@ def title_counts(sections: DataFrame, at: str = "ingested_at", window: str = "1
     return counted.select(F.col("w.start").alias("day"), "normalized_title", "sections")
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder of Parquet files exists and holds a finished write."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(path) and any(f.getPath().getName().endswith(".parquet") or f.isDirectory() and "=" in f.getPath().getName() for f in files.listStatus(path))
+
+
 def each_new_document(stream: DataFrame, analyse: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, key: list[str], version: str, once: bool = True) -> StreamingQuery:
     """Append ``analyse`` of every document whose (key, version) isn't in the Parquet folder ``out`` yet. A batch that is
-    run again after a failure finds its rows there and adds nothing."""
+    run again after a failure finds its rows there and adds nothing. Only a folder that doesn't exist counts as empty: what
+    else goes wrong while reading it stops the stream. Of ``out`` the keys and versions alone are read."""
 
     def batch(df: DataFrame, _: int) -> None:
         spark = df.sparkSession
-        try:
-            done = spark.read.parquet(out)
-        except Exception:  # noqa: BLE001 - the first batch finds no folder
-            done = None
+        done = spark.read.parquet(out).select(*key, version) if exists(spark, out) else None
         todo = df.dropDuplicates([*key, version])
         analyse(todo if done is None else missing_or_stale(todo, done, key, version)).write.mode("append").parquet(out)
 

@@ -64,3 +64,31 @@ def test_clashing_attribute_names(spark):
     nodes = I.shred(df, "id", "payload", I.schema_graph(df, "payload"))
     row = I.relation(nodes, "items", ["pos", "node_id"]).first()
     assert (row.pos, row.attr_pos, row.attr_node_id) == (0, "7", "x")
+
+
+def test_unreadable_payloads_are_named(spark):
+    deep = '{"n": ' * 200_000 + "1" + "}" * 200_000
+    df = frame(spark, [deep, None, " ", "{", "7", "{}", "[]"])
+    got = {r.id: r.reason for r in I.rejected(df, "id", "payload").collect()}
+    assert got == {0: "nested too deep", 1: "empty", 2: "empty", 3: "not JSON", 4: "no object"}
+    assert {r.record_key for r in I.shred(df, "id", "payload", I.schema_graph(df, "payload")).collect()} == {"5", "6"}
+
+
+def test_relations_give_the_record_back(spark):
+    record = {"title": "t", "sections": [{"name": "a", "parts": [{"v": "1"}, {"v": "2", "parts": [{"v": "3"}]}]}, {"name": "b", "place": {"page": "4", "box": {"x": "5"}}}], "meta": {"by": "z"}}
+    df = frame(spark, [json.dumps(record)])
+    nodes = [r.asDict() for r in I.shred(df, "id", "payload", I.schema_graph(df, "payload")).collect()]
+
+    def build(node):
+        out = {}
+        for path, value in node["attrs"].items():
+            at = out
+            *above, last = path.split(".")
+            for a in above:
+                at = at.setdefault(a, {})
+            at[last] = value
+        for child in sorted((n for n in nodes if n["parent_node"] == node["node_id"]), key=lambda n: n["pos"]):
+            out.setdefault(child["relation"], []).append(build(child))
+        return out
+
+    assert build(next(n for n in nodes if n["parent_node"] is None)) == record

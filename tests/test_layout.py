@@ -77,11 +77,80 @@ def test_columns(spark):
 def test_sections(spark):
     h = {"header_level": "section_header"}
     df = page(spark, [{"text": "before"}, {"text": "H1", **h}, {"text": "H2", **h}, {"text": "body"}, {"text": "H3", **h, "page": 1, "y0": 0.0}, {"text": "end", "page": 1, "y0": 20.0}])
-    found = S.sections(S.reading_order(df)).orderBy("section_no").collect()
+    sections, items = S.segment(df)
+    found = sections.orderBy("section_no").collect()
     assert [(r.section_id, r.raw_title, r.page_start, r.page_end) for r in found] == [("sec_1", "OPENING", 1, 1), ("sec_2", "H2", 1, 2), ("sec_3", "H3", 2, 2)]
-    text = {r.section_no: r.text_plain for r in S.section_text(S.section_items(S.reading_order(df))).collect()}
+    text = {r.section_no: r.text_plain for r in S.section_text(items).collect()}
     assert text == {1: "before", 2: "body", 3: "end"}
-    assert S.sections(S.reading_order(df.limit(0))).count() == 0
+    assert S.segment(df.limit(0))[0].count() == 0
+
+
+def model(lines, tables, images, index):
+    """Sections by walking along one document's lines, as a person would."""
+    lines = sorted((x for x in lines if x["page"] not in index), key=lambda x: (x["page"], x["column_id"], x["y0"], x["x0"], x["line_no"]))
+    tables = sorted((t for t in tables if t["page"] not in index), key=lambda t: t["y0"])
+    waiting, out, current, title, start = list(tables), [], [], "OPENING", lines[0]["page"]
+
+    def close(page):
+        nonlocal current
+        if current:
+            out.append([title, start + 1, page + 1, current])
+        current = []
+
+    for x in lines:
+        holds = sorted((t for t in tables if t["page"] == x["page"] and x["x0"] >= t["x0"] and x["x1"] <= t["x1"] and x["y0"] >= t["y0"] and x["y1"] <= t["y1"]), key=lambda t: t["table_id"])
+        header = x["header_level"] == "section_header"
+        if holds and not header:
+            continue
+        reach = holds[0]["y0"] - 0.001 if holds else x["y0"]
+        current += [t["table_id"] for t in waiting if t["page"] == x["page"] and t["y0"] <= reach]
+        waiting = [t for t in waiting if not (t["page"] == x["page"] and t["y0"] <= reach)]
+        if header:
+            close(x["page"])
+            title, start = x["text"], x["page"]
+        else:
+            current.append(x["line_no"])
+    tops = {t["page"]: min(u["y0"] for u in tables if u["page"] == t["page"]) for t in tables}
+    current += [t["table_id"] for t in sorted(waiting, key=lambda t: (tops[t["page"]], t["y0"]))]
+    close(lines[-1]["page"])
+    for i in images:
+        fits = [s for s in out if s[1] <= i["page"] + 1 <= s[2]]
+        if i["page"] not in index and i["ocr_text"] and fits:
+            fits[0][3].append(i["image_id"])
+    return out
+
+
+def test_segmentation_is_that_of_a_walk(spark):
+    import random
+
+    rng = random.Random(4)
+    lines, tables, images, index = [], [], [], []
+    for d in range(25):
+        levels = rng.choices(["section_header", "subheader", "non_header"], [1, 1, 4], k=rng.randrange(1, 25))
+        for n, level in enumerate(levels):
+            y = float(rng.randrange(0, 60) * 10)
+            lines.append({"doc_id": f"d{d}", "page": rng.randrange(4), "line_no": n, "column_id": rng.randrange(2), "text": f"t{n}", "header_level": level, "x0": 10.0, "y0": y, "x1": 90.0, "y1": y + 9})
+        for n in range(rng.randrange(6)):
+            y = float(rng.randrange(0, 60) * 10) + n / 100
+            tables.append({"doc_id": f"d{d}", "page": rng.randrange(5), "table_id": f"tab{n}", "x0": 0.0, "y0": y, "x1": 100.0, "y1": y + rng.randrange(20, 200), "columns": ["a"], "rows": [["1"]]})
+        images += [{"doc_id": f"d{d}", "page": rng.randrange(5), "image_id": f"img{n}", "ocr_text": rng.choice(["x", "", None])} for n in range(rng.randrange(4))]
+        index += [{"doc_id": f"d{d}", "page": 3}] if d % 3 == 0 else []
+    frames = [spark.createDataFrame(x, s) for x, s in (
+        (lines, "doc_id string, page int, line_no int, column_id int, text string, header_level string, x0 double, y0 double, x1 double, y1 double"),
+        (tables, "doc_id string, page int, table_id string, x0 double, y0 double, x1 double, y1 double, columns array<string>, rows array<array<string>>"),
+        (images, "doc_id string, page int, image_id string, ocr_text string"), (index, "doc_id string, page int"),
+    )]
+    sections, items = S.segment(*frames)
+    got = {}
+    for r in sections.collect():
+        got.setdefault(r.doc_id, {})[r.section_no] = [r.raw_title, r.page_start, r.page_end, []]
+    for r in items.orderBy("item_no").collect():
+        got[r.doc_id][r.section_no][3].append(r.id if r.id is not None else r.line_no)
+    of = lambda x, d: [y for y in x if y["doc_id"] == d]
+    for d in {x["doc_id"] for x in lines}:
+        skip = {x["page"] for x in of(index, d)}
+        want = model(of(lines, d), of(tables, d), sorted(of(images, d), key=lambda i: (i["page"], i["image_id"])), skip) if [x for x in of(lines, d) if x["page"] not in skip] else []
+        assert [got.get(d, {})[n] for n in sorted(got.get(d, {}))] == want, d
 
 
 def test_table_blocks_merge_continuations(spark):
