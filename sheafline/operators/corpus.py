@@ -24,9 +24,11 @@ def language_title(title: Column) -> Column:
 
 
 def header_facts(lines: DataFrame) -> DataFrame:
-    """doc_id and counts of section headers, subheaders and of headers that are lists, codes, long or very long."""
+    """doc_id and counts of section headers, subheaders, of headers that are lists, codes, long or very long, and of headers of
+    the first four pages that hold a language's name."""
     section = F.col("header_level") == "section_header"
     n = X.word_count(F.col("text"))
+    names = F.exists(F.array(*map(F.lit, LANGUAGE_NAMES)), lambda x: F.contains(F.lower("text"), x))
     return lines.groupBy("doc_id").agg(
         F.count_if(section).alias("section_headers"),
         F.count_if(F.col("header_level") == "subheader").alias("subheaders"),
@@ -34,6 +36,7 @@ def header_facts(lines: DataFrame) -> DataFrame:
         F.count_if(section & code_header(F.col("text"))).alias("code_headers"),
         F.count_if(section & (n > 12)).alias("long_headers"),
         F.count_if(section & (n > 18)).alias("very_long_headers"),
+        F.count_if((F.col("header_level") != "non_header") & (F.col("page") < 4) & names).alias("language_headers"),
     )
 
 
@@ -56,6 +59,7 @@ def structure_problems(documents: DataFrame) -> DataFrame:
     wrong, in a fixed order."""
     c = F.col
     s, p = c("sections"), c("pages")
+    # The names of the problems and their order.
     rules = [
         ("no_text", (c("lines") == 0) & (p > 0)),
         ("mostly_images", (c("lines") < 15) & (c("images") >= 5)),
@@ -70,7 +74,7 @@ def structure_problems(documents: DataFrame) -> DataFrame:
         ("sections_too_short", (s >= 6) & (c("avg_chars") < 150)),
         ("sections_too_long", (s <= 4) & (c("avg_chars") > 3000)),
         ("many_subheaders", (c("subheaders") > 0) & (c("subheaders") > F.greatest(F.lit(6), 2 * c("section_headers")))),
-        ("multilingual", (c("language_titles") >= 3) | (s > 20) & (c("other") > 0.85 * s)),
+        ("multilingual", (c("language_titles") >= 3) | (s > 20) & (c("other") > 0.85 * s) | (c("language_headers") >= 4)),
     ]
     names = F.array_compact(F.array(*(F.when(condition, F.lit(name)) for name, condition in rules)))
     return documents.withColumn("problems", names)

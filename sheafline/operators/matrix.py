@@ -70,8 +70,17 @@ def matrix(resolved: DataFrame, columns: list[str]) -> DataFrame:
     return wide.na.fill("", columns)
 
 
-def missing_or_stale(wanted: DataFrame, cached: DataFrame, key: list[str], version: str) -> DataFrame:
-    """Rows of ``wanted`` that ``cached`` doesn't hold with the same ``version`` (a fingerprint of what they are made from)."""
+def missing_or_stale(wanted: DataFrame, cached: DataFrame, key: list[str], version: str, columns: list[str] | None = None) -> DataFrame:
+    """Rows of ``wanted`` that ``cached`` doesn't hold with the same ``version`` (a fingerprint of what they are made from).
+
+    With ``columns`` a cached row counts only if it has all of them and one isn't null or empty."""
+    if columns is not None:
+        has_all = set(columns) <= set(cached.columns)
+        some = [F.coalesce(F.col(c).cast("string"), F.lit("")) != "" for c in columns if c in cached.columns]
+        filled = F.lit(False)
+        for s in some:
+            filled = filled | s
+        cached = cached.where(filled if has_all else F.lit(False))
     return wanted.join(cached.select(*key, version), [*key, version], "left_anti")
 
 

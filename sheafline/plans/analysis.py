@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from sheafline import config as C
 from sheafline.functions import text as X
@@ -55,6 +55,18 @@ def images_of(spark: SparkSession, d: str) -> DataFrame:
     return _one_each(table(spark, d, "image_blocks"), "image_uid")
 
 
+def cell_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The cells of every table as lines of a page of its own: rows 20 below each other, columns 90 apart and a little askew."""
+    t = tables_of(spark, d).select("table_uid", F.posexplode(F.concat(F.array("columns"), F.coalesce("rows", F.array().cast("array<array<string>>")))).alias("r", "cells"))
+    cells = t.select("table_uid", "r", F.posexplode("cells").alias("k", "t")).where("btrim(t) <> ''")
+    number = F.row_number().over(W.partitionBy("table_uid").orderBy("r", "k")) - 1
+    x0, y0 = (F.lit(72) + 90 * F.col("k") + 2 * (F.col("r") % 3)).cast("double"), (20 * F.col("r")).cast("double")
+    return cells.select(
+        F.col("table_uid").cast("string").alias("doc_id"), F.lit(0).alias("page"), number.cast("int").alias("line_no"), F.btrim("t").alias("text"),
+        x0.alias("x0"), y0.alias("y0"), (x0 + 80).alias("x1"), (y0 + 10).alias("y1"), F.lit(0).alias("column_id"),
+    )
+
+
 _SPACES = X.SPACES
 LINES = "l AS (SELECT * FROM text_lines QUALIFY row_number() OVER (PARTITION BY doc_id, page, line_no ORDER BY ingested_at DESC, line_uid, text) = 1)"
 SECTIONS = (
@@ -132,19 +144,29 @@ def visual_rows(spark, d):
     return L.visual_rows(lines_of(spark, d)).select("doc_id", "page", "line_no", F.col("row_no").cast("bigint").alias("row_no"))
 
 
-@query("anchored_rows")
+CELLS = f"""{TABLES}, ca AS (SELECT table_uid, list_concat([columns], coalesce(rows, [])) AS rs FROM t), cb AS (SELECT table_uid, unnest(rs) AS cells, generate_subscripts(rs, 1) - 1 AS r FROM ca),
+  cc AS (SELECT table_uid, r, unnest(cells) AS t, generate_subscripts(cells, 1) - 1 AS k FROM cb),
+  l AS (SELECT CAST(table_uid AS VARCHAR) AS doc_id, 0 AS page, CAST(row_number() OVER (PARTITION BY table_uid ORDER BY r, k) - 1 AS INT) AS line_no, trim(t) AS text, CAST(72 + 90 * k + 2 * (r % 3) AS DOUBLE) AS x0, CAST(20 * r AS DOUBLE) AS y0,
+    CAST(152 + 90 * k + 2 * (r % 3) AS DOUBLE) AS x1, CAST(20 * r + 10 AS DOUBLE) AS y1, 0 AS column_id FROM cc WHERE trim(t) <> '')"""
+
+
+@query("anchored_rows", f"""WITH RECURSIVE {LINES}, s AS (SELECT doc_id, page, line_no, y0, row_number() OVER (PARTITION BY doc_id, page ORDER BY round(y0, 1) NULLS FIRST, round(x0, 1) NULLS FIRST, line_no) AS n FROM l),
+  a AS (SELECT doc_id, page, line_no, n, y0 AS first, 1 AS row_no FROM s WHERE n = 1
+    UNION ALL SELECT s.doc_id, s.page, s.line_no, s.n, CASE WHEN coalesce(abs(s.y0 - a.first) <= 3, false) THEN a.first ELSE s.y0 END, a.row_no + CASE WHEN coalesce(abs(s.y0 - a.first) <= 3, false) THEN 0 ELSE 1 END
+    FROM a JOIN s ON s.doc_id = a.doc_id AND s.page = a.page AND s.n = a.n + 1)
+SELECT doc_id, page, CAST(row_no AS INT) AS row_no, CAST(line_no AS INT) AS line_no FROM a""")
 def anchored_rows(spark, d):
     return L.anchored_rows(lines_of(spark, d))
 
 
-@query("table_islands", f"WITH {LINES}, {ROWS}, {FLAGS} SELECT doc_id, page, pos, flag, streak, flag AND streak >= 4 AS table_like FROM k")
+@query("table_islands", f"WITH {CELLS}, {ROWS}, {FLAGS} SELECT doc_id, page, pos, flag, streak, flag AND streak >= 4 AS table_like FROM k")
 def table_islands(spark, d):
-    return L.row_islands(L.row_flags(lines_of(spark, d))).select("doc_id", "page", F.col("pos").cast("bigint").alias("pos"), "flag", "streak", "table_like")
+    return L.row_islands(L.row_flags(cell_lines(spark, d))).select("doc_id", "page", F.col("pos").cast("bigint").alias("pos"), "flag", "streak", "table_like")
 
 
-@query("table_like_lines", f"WITH {LINES}, {ROWS}, {FLAGS} SELECT r.doc_id, r.page, r.line_no FROM r JOIN k USING (doc_id, page, column_id, row_no) WHERE k.flag AND k.streak >= 4")
+@query("table_like_lines", f"WITH {CELLS}, {ROWS}, {FLAGS} SELECT r.doc_id, r.page, r.line_no FROM r JOIN k USING (doc_id, page, column_id, row_no) WHERE k.flag AND k.streak >= 4")
 def table_like_lines(spark, d):
-    return L.mark_table_like(lines_of(spark, d)).where("is_table_like").select("doc_id", "page", "line_no")
+    return L.mark_table_like(cell_lines(spark, d)).where("is_table_like").select("doc_id", "page", "line_no")
 
 
 SPLITS = (
@@ -201,7 +223,7 @@ INDEX = (
 )
 _T = f"regexp_replace(coalesce(text, ''), '^{_SPACES}|{_SPACES}$', '', 'g')"
 SCORE = f"""sc AS (SELECT *, {_T} AS t, coalesce(is_bold, false) AS bold, coalesce(is_upper, false) AS up, coalesce(font_size_avg > body_size + 0.5, false) AS larger,
-    {_words('text')} AS n FROM l JOIN bf USING (doc_id, page) JOIN ix USING (doc_id, page)),
+    {_words('text')} AS n, coalesce(table_count, 0) AS table_count FROM l JOIN bf USING (doc_id, page) JOIN ix USING (doc_id, page) LEFT JOIN (SELECT doc_id, page, count(*) AS table_count FROM t GROUP BY ALL) USING (doc_id, page)),
   sd AS (SELECT *, regexp_matches(t, '{C.NUMBERED}') AS numbered, regexp_matches(t, '{C.HEADER_SHAPES[0]}') OR regexp_matches(t, '{C.HEADER_SHAPES[1]}') AS shaped,
     list_filter(regexp_split_to_array({_normal('t')}, '{_SPACES}'), lambda w: w <> '') AS st FROM sc),
   se AS (SELECT *, CASE WHEN is_index THEN -999
@@ -210,7 +232,7 @@ SCORE = f"""sc AS (SELECT *, {_T} AS t, coalesce(is_bold, false) AS bold, coales
       OR regexp_matches(t, '^[•\\-*▪]') OR regexp_matches(t, '^[a-zA-Z]\\)(\\s|$)') OR regexp_matches(lower(t), '(^|[^\\p{{L}}\\p{{N}}_])(of the|of|and|or|the|a)\\s*$') THEN -999
     WHEN n <= 10 AND (st[1] IN ({_list(C.SECTION_STARTS)}) OR concat_ws(' ', st[1], st[2]) IN ({_list(C.SECTION_STARTS)})) THEN 10
     ELSE CASE WHEN NOT coalesce(is_table_like, false) THEN 0 WHEN bold AND up THEN -2 ELSE -6 END
-      - CASE WHEN n > 18 THEN 3 ELSE 0 END - CASE WHEN regexp_matches(t, '^[0-9]+\\.\\s') AND NOT numbered THEN 2 ELSE 0 END - CASE WHEN regexp_matches(t, '^[A-Z0-9\\-.\\[\\]/]+$') AND n <= 3 THEN 3 ELSE 0 END
+      - CASE WHEN table_count > 2 AND NOT numbered THEN 4 ELSE 0 END - CASE WHEN n > 18 THEN 3 ELSE 0 END - CASE WHEN regexp_matches(t, '^[0-9]+\\.\\s') AND NOT numbered THEN 2 ELSE 0 END - CASE WHEN regexp_matches(t, '^[A-Z0-9\\-.\\[\\]/]+$') AND n <= 3 THEN 3 ELSE 0 END
       - CASE WHEN n <= 3 AND NOT up AND NOT suffix(t, ':') THEN 3 ELSE 0 END - CASE WHEN n <= 2 AND NOT up AND NOT shaped THEN 2 ELSE 0 END - CASE WHEN y0 > 400 AND n <= 3 AND NOT numbered THEN 3 ELSE 0 END
       + CASE WHEN larger THEN 3 ELSE 0 END + CASE WHEN bold THEN 2 ELSE 0 END + CASE WHEN body_font <> '' AND coalesce(font_name, '') <> '' AND font_name <> body_font THEN 2 ELSE 0 END
       + CASE WHEN up THEN 2 ELSE 0 END + CASE WHEN n BETWEEN 1 AND 10 THEN 1 ELSE 0 END + CASE WHEN suffix(t, ':') THEN 1 ELSE 0 END + CASE WHEN NOT suffix(t, '.') THEN 1 ELSE 0 END
@@ -218,12 +240,12 @@ SCORE = f"""sc AS (SELECT *, {_T} AS t, coalesce(is_bold, false) AS bold, coales
   sf AS (SELECT *, max(CASE WHEN score > 0 THEN score END) OVER (PARTITION BY doc_id, page) AS best, count(*) OVER (PARTITION BY doc_id, page) AS lines FROM se)"""
 
 
-@query("header_levels", f"""WITH {LINES}, {BODY}, {INDEX}, {SCORE}
+@query("header_levels", f"""WITH {LINES}, {TABLES}, {BODY}, {INDEX}, {SCORE}
 SELECT doc_id, page, line_no, CAST(score AS INT) AS header_score, CASE WHEN is_index THEN 'non_header'
   WHEN score >= greatest(CASE WHEN best = 5 THEN 5 ELSE 6 END, CASE WHEN lines < 20 THEN 9 ELSE 0 END) THEN 'section_header'
   WHEN score >= greatest(CASE WHEN best = 5 THEN 4 ELSE 5 END, CASE WHEN lines < 20 THEN 7 ELSE 0 END) THEN 'subheader' ELSE 'non_header' END AS header_level FROM sf""")
 def header_levels(spark, d):
-    return L.header_levels(lines_of(spark, d)).select("doc_id", "page", "line_no", "header_score", "header_level")
+    return L.header_levels(lines_of(spark, d), tables_of(spark, d)).select("doc_id", "page", "line_no", "header_score", "header_level")
 
 
 @query("contents_lines", f"""WITH {LINES} SELECT doc_id, page, line_no, CASE WHEN regexp_matches(text, '{C.DOT_LEADER}') THEN trim(regexp_extract(text, '{C.DOT_LEADER}', 1)) ELSE trim(regexp_replace(text, '\\s+[0-9]{{1,4}}\\s*$', '')) END AS title,
@@ -345,9 +367,23 @@ def table_grid(spark, d):
     return x.select("table_uid", X.table_grid(F.col("columns"), F.col("rows")).alias("grid"))
 
 
-@query("table_blocks")
+@query("table_blocks", f"""WITH RECURSIVE {CELLS}, {ROWS}, {FLAGS}, c AS (SELECT r.doc_id, r.row_no, r.x0, r.text, r.line_no, row_number() OVER (PARTITION BY r.doc_id, r.row_no ORDER BY r.y0, r.x0, r.line_no) AS nth FROM r JOIN k USING (doc_id, page, column_id, row_no) WHERE k.flag AND k.streak >= 4),
+  rr AS (SELECT doc_id, row_no, count(*) AS n, row_no - row_number() OVER (PARTITION BY doc_id ORDER BY row_no) AS run FROM c GROUP BY doc_id, row_no),
+  rn AS (SELECT *, row_number() OVER (PARTITION BY doc_id, run ORDER BY row_no) AS i, count(*) OVER (PARTITION BY doc_id, run) AS size FROM rr QUALIFY size >= 4),
+  fit AS (SELECT a.doc_id, a.row_no AS above, b.row_no FROM rn a JOIN rn b ON a.doc_id = b.doc_id AND a.run = b.run AND a.row_no < b.row_no AND b.n < a.n
+    WHERE NOT EXISTS (SELECT 1 FROM c x WHERE x.doc_id = b.doc_id AND x.row_no = b.row_no AND NOT EXISTS (SELECT 1 FROM c y WHERE y.doc_id = a.doc_id AND y.row_no = a.row_no AND abs(x.x0 - y.x0) <= {C.DEFAULT.cell_shift}))),
+  fd AS (SELECT doc_id, run, i, row_no, row_no AS above FROM rn WHERE i = 1
+    UNION ALL SELECT rn.doc_id, rn.run, rn.i, rn.row_no, CASE WHEN fit.row_no IS NOT NULL THEN f.above ELSE rn.row_no END FROM fd f JOIN rn ON rn.doc_id = f.doc_id AND rn.run = f.run AND rn.i = f.i + 1
+      LEFT JOIN fit ON fit.doc_id = rn.doc_id AND fit.above = f.above AND fit.row_no = rn.row_no),
+  o AS (SELECT f.doc_id, f.run, f.above, f.row_no, c.nth, c.text, CASE WHEN f.above = f.row_no THEN c.x0 ELSE (SELECT arg_min(y.x0, (abs(y.x0 - c.x0), y.nth)) FROM c y WHERE y.doc_id = f.doc_id AND y.row_no = f.above) END AS x FROM fd f JOIN c ON c.doc_id = f.doc_id AND c.row_no = f.row_no),
+  w AS (SELECT doc_id, run, above, x, string_agg(text, ' ' ORDER BY row_no, nth) AS cell FROM o GROUP BY ALL),
+  gr AS (SELECT doc_id, run, above, string_agg(cell, ' | ' ORDER BY x) AS line FROM w GROUP BY ALL),
+  b AS (SELECT doc_id, run, count(*) AS n, string_agg(line, chr(10) ORDER BY above) AS grid FROM gr GROUP BY ALL HAVING count(*) >= 4)
+SELECT doc_id, 'table_p1_' || row_number() OVER (PARTITION BY doc_id ORDER BY run) AS table_id, CAST(n - 1 AS INT) AS n_rows, grid FROM b""")
 def table_blocks(spark, d):
-    return TB.table_blocks(L.mark_table_like(lines_of(spark, d)))
+    line = lambda r: F.array_join(r, " | ")
+    grid = F.array_join(F.concat(F.array(line(F.col("columns"))), F.transform("rows", line)), "\n")
+    return TB.table_blocks(L.mark_table_like(cell_lines(spark, d))).select("doc_id", "table_id", F.size("rows").alias("n_rows"), grid.alias("grid"))
 
 
 _FIELDS = " UNION ALL ".join(f"SELECT {i} AS no, '{f}' AS target_field, [{_list(t)}] AS terms" for i, (f, t) in enumerate(C.FIELD_ALIASES.items()))
@@ -401,15 +437,36 @@ def section_facts(spark, d):
     return corpus.section_facts(sections_of(spark, d))
 
 
-@query("header_facts", f"""WITH {LINES}, c AS (SELECT doc_id, header_level = 'section_header' AS h, header_level = 'subheader' AS u, trim(text) AS t, {_words('text')} AS n FROM l)
+@query("header_facts", f"""WITH {LINES}, c AS (SELECT doc_id, page, header_level = 'section_header' AS h, header_level = 'subheader' AS u, trim(text) AS t, {_words('text')} AS n FROM l)
 SELECT doc_id, count(*) FILTER (h) AS section_headers, count(*) FILTER (u) AS subheaders, count(*) FILTER (h AND (regexp_matches(lower(t), '^[a-z]\\)') OR regexp_matches(lower(t), '^[0-9]+\\.$'))) AS list_headers,
   count(*) FILTER (h AND (regexp_matches(t, '^[A-Z]{{2,5}}-[0-9]{{2,}}$') OR regexp_matches(t, '^[A-Z]-[A-Z0-9]{{4,}}$') OR regexp_matches(t, '^[A-Z]{{1,4}}[0-9]{{2,}}[A-Z0-9\\-]*$'))) AS code_headers,
-  count(*) FILTER (h AND n > 12) AS long_headers, count(*) FILTER (h AND n > 18) AS very_long_headers FROM c GROUP BY doc_id""")
+  count(*) FILTER (h AND n > 12) AS long_headers, count(*) FILTER (h AND n > 18) AS very_long_headers,
+  count(*) FILTER ((h OR u) AND page < 4 AND len(list_filter([{_list(C.LANGUAGE_NAMES)}], lambda x: contains(lower(t), x))) > 0) AS language_headers FROM c GROUP BY doc_id""")
 def header_facts(spark, d):
     return corpus.header_facts(lines_of(spark, d))
 
 
-@query("document_problems")
+def _counts(query_sql: str, name: str) -> str:
+    """The CTEs and the last SELECT of a registered query as CTEs of another."""
+    return query_sql.removeprefix("WITH ").rpartition("\nSELECT")[0], f"{name} AS (SELECT{query_sql.rpartition(chr(10) + 'SELECT')[2]})"
+
+
+_FACTS = {n: _counts(SQL[n], x) for n, x in (("section_facts", "fs"), ("header_facts", "fh"), ("table_facts", "ft"))}
+
+
+@query("document_problems", f"""WITH {SECTIONS}, {LINES}, {TABLES}, {IMAGES}, fs AS (WITH {_FACTS['section_facts'][0]}, {_FACTS['section_facts'][1]} SELECT * FROM fs), fh AS (WITH {_FACTS['header_facts'][0]}, {_FACTS['header_facts'][1]} SELECT * FROM fh),
+  ft AS (WITH {_FACTS['table_facts'][0]}, {_FACTS['table_facts'][1]} SELECT * FROM ft), td AS (SELECT doc_id, count(*) AS tables, count(*) FILTER (odd) AS odd_tables, count(*) FILTER (footer) AS footer_tables FROM t JOIN ft USING (table_uid) GROUP BY doc_id),
+  m AS (SELECT doc_id, arg_max(file_name, (ingested_at, file_name)) AS file_name, arg_max(page_count, (ingested_at, file_name)) AS page_count FROM documents_meta GROUP BY doc_id),
+  lc AS (SELECT doc_id, count(*) AS lines FROM l GROUP BY doc_id), ic AS (SELECT doc_id, count(*) AS images FROM i GROUP BY doc_id),
+  j AS (SELECT m.doc_id, m.file_name, coalesce(page_count, 0) AS pages, coalesce(lines, 0) AS lines, coalesce(images, 0) AS images, coalesce(sections, 0) AS sections, coalesce(untitled, 0) AS untitled, coalesce(other, 0) AS other, coalesce(total_chars, 0) AS total_chars,
+    CAST(coalesce(avg_chars, 0) AS BIGINT) AS avg_chars, coalesce(language_titles, 0) AS language_titles, coalesce(section_headers, 0) AS section_headers, coalesce(subheaders, 0) AS subheaders, coalesce(list_headers, 0) AS list_headers, coalesce(code_headers, 0) AS code_headers,
+    coalesce(long_headers, 0) AS long_headers, coalesce(very_long_headers, 0) AS very_long_headers, coalesce(language_headers, 0) AS language_headers, coalesce(tables, 0) AS tables, coalesce(odd_tables, 0) AS odd_tables, coalesce(footer_tables, 0) AS footer_tables
+    FROM m LEFT JOIN lc USING (doc_id) LEFT JOIN ic USING (doc_id) LEFT JOIN fs USING (doc_id) LEFT JOIN fh USING (doc_id) LEFT JOIN td USING (doc_id))
+SELECT *, concat_ws(' | ', CASE WHEN lines = 0 AND pages > 0 THEN 'no_text' END, CASE WHEN lines < 15 AND images >= 5 THEN 'mostly_images' END,
+  CASE WHEN pages <= 4 AND sections > 8 OR pages BETWEEN 5 AND 10 AND sections > 15 OR pages > 10 AND sections > 2 * pages THEN 'too_many_sections' END, CASE WHEN sections >= 4 AND untitled > 0.30 * sections THEN 'many_untitled' END,
+  CASE WHEN list_headers >= 2 THEN 'list_headers' END, CASE WHEN code_headers >= 1 THEN 'code_headers' END, CASE WHEN long_headers >= 2 OR very_long_headers >= 1 THEN 'long_headers' END, CASE WHEN sections >= 8 AND other > 0.60 * sections THEN 'poor_normalization' END,
+  CASE WHEN odd_tables >= 1 THEN 'suspicious_tables' END, CASE WHEN footer_tables >= 1 THEN 'footer_tables' END, CASE WHEN sections >= 6 AND avg_chars < 150 THEN 'sections_too_short' END, CASE WHEN sections <= 4 AND avg_chars > 3000 THEN 'sections_too_long' END,
+  CASE WHEN subheaders > 0 AND subheaders > greatest(6, 2 * section_headers) THEN 'many_subheaders' END, CASE WHEN language_titles >= 3 OR sections > 20 AND other > 0.85 * sections OR language_headers >= 4 THEN 'multilingual' END) AS problems FROM j""")
 def document_problems(spark, d):
     facts = corpus.document_facts(table(spark, d, "documents_meta"), lines_of(spark, d), sections_of(spark, d), tables_of(spark, d), images_of(spark, d))
     return facts.withColumn("problems", F.array_join("problems", " | "))
@@ -485,9 +542,10 @@ def page_records(spark, d):
     return r.withColumn("headers", F.array_join(F.transform("header_candidates", lambda h: F.concat_ws(" ", h["text"], h["score"])), " | ")).drop("header_candidates")
 
 
-@query("image_only_documents", f"WITH {LINES} SELECT doc_id, CAST(sum(length(text)) AS BIGINT) AS chars FROM l GROUP BY doc_id HAVING sum(length(text)) < 100")
+@query("image_only_documents", f"WITH {IMAGES} SELECT doc_id, CAST(sum(length(ocr_text)) AS BIGINT) AS chars FROM i WHERE ocr_text IS NOT NULL GROUP BY doc_id HAVING sum(length(ocr_text)) < 100")
 def image_only_documents(spark, d):
-    return corpus.image_only(lines_of(spark, d))
+    # Every PDF here has lines enough; the recognised text of its images hasn't.
+    return corpus.image_only(images_of(spark, d).where("ocr_text is not null").withColumn("text", F.col("ocr_text")))
 
 
 @query("top_normalized", f"""WITH {SECTIONS}, c AS (SELECT doc_id, normalized_title, count(*) AS c, min(section_no) AS f FROM s WHERE normalized_title IS NOT NULL AND normalized_title NOT IN ({_list(C.STRUCTURAL_NORMS)}) GROUP BY ALL),

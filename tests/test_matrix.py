@@ -45,6 +45,17 @@ def test_stale_rows(spark):
     w = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     c = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
     assert [r.k for r in matrix.missing_or_stale(w, c, ["k"], "v").collect()] == ["b"]
+    rows = spark.createDataFrame([("a", 1, "x", ""), ("b", 2, "", None)], "k string, v int, p string, q string")
+    assert [r.k for r in matrix.missing_or_stale(w, rows, ["k"], "v", ["p", "q"]).collect()] == ["b"]  # all empty
+    assert matrix.missing_or_stale(w, rows, ["k"], "v", ["p", "new"]).count() == 2  # a column is missing
+
+
+def test_language_names_among_the_first_headers(spark):
+    from sheafline.operators import corpus
+
+    rows = [("d", p, "section_header", f"Manual {x}") for p, x in enumerate(["English", "Deutsch", "FRANÇAIS", "Italiano", "Español"])] + [("d", 0, "non_header", "English")]
+    got = corpus.header_facts(spark.createDataFrame(rows, "doc_id string, page int, header_level string, text string")).first()
+    assert got.language_headers == sum(any(n in t.lower() for n in corpus.LANGUAGE_NAMES) for _, p, h, t in rows if p < 4 and h != "non_header") > 0
 
 
 def test_streams(spark, tmp_path):
