@@ -87,8 +87,9 @@ class Tests:
         self.starts = np.flatnonzero(self.place + min_run <= self.sizes[self.owner]) if sizes else np.zeros(0, np.int64)
 
 
-def _shard_matches(docs: list[tuple], tests: Tests, min_run: int) -> list[tuple]:
-    """(doc_id, item_id, covered, item_words, longest, doc_word, item_word) of each document and item that share a run."""
+def _shard_matches(docs: list[tuple], tests: Tests, min_run: int, at_once: int = 2_000_000) -> Iterator[list[tuple]]:
+    """(doc_id, item_id, covered, item_words, longest, doc_word, item_word) of each document and item that share a run, for some
+    items at a time: about ``at_once`` matching places, or one item's."""
     ids = np.concatenate([np.append(d, 0) for _, d in docs])
     doc_of = np.repeat(np.arange(len(docs)), [len(d) + 1 for _, d in docs])
     start_of = np.concatenate(([0], np.cumsum([len(d) + 1 for _, d in docs])))
@@ -98,15 +99,27 @@ def _shard_matches(docs: list[tuple], tests: Tests, min_run: int) -> list[tuple]
     keep = np.repeat(length > min_run, length)
     kept = np.flatnonzero(keep)
     if not len(kept) or not len(tests.starts):
-        return []
+        return
     shard = ids[kept]
     order = suffix_array(shard, min_run)
     lo, hi = _bounds(shard, order, tests.ids, tests.starts, min_run)
+    # An item's suffixes follow each other and stay together.
+    ends = np.flatnonzero(np.append(np.diff(tests.owner[tests.starts]) != 0, True)) + 1
+    upto = np.concatenate(([0], np.cumsum(hi - lo)))[ends]
+    a, done = 0, 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(upto, done + at_once, side="right")))
+        part = slice(ends[a - 1] if a else 0, ends[b - 1])
+        suffix = np.repeat(tests.starts[part], (hi - lo)[part])
+        if len(suffix):
+            yield _pairs_of(docs, tests, min_run, suffix, lo[part], hi[part], kept[order], doc_of, start_of)
+        a, done = b, int(upto[b - 1])
+
+
+def _pairs_of(docs: list[tuple], tests: Tests, min_run: int, suffix: np.ndarray, lo: np.ndarray, hi: np.ndarray, places: np.ndarray, doc_of: np.ndarray, start_of: np.ndarray) -> list[tuple]:
+    """The rows of the places ``places[lo:hi]`` that each test suffix matches."""
     n = hi - lo
-    suffix = np.repeat(tests.starts, n)
-    where = kept[order[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]]
-    if not len(where):
-        return []
+    where = places[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
     item, doc = tests.owner[suffix], doc_of[where]
     # Covered words: the union of the matched windows of one document and item.
     pair = doc * len(tests.sizes) + item
@@ -159,10 +172,12 @@ def matches(documents: DataFrame, items: DataFrame, min_run: int = 12, shard_wor
                         docs.append((doc, ids))
                         size += len(ids)
                     if size >= shard_words:
-                        yield pd.DataFrame(_shard_matches(docs, tests.value, min_run), columns=names)
+                        for rows in _shard_matches(docs, tests.value, min_run):
+                            yield pd.DataFrame(rows, columns=names)
                         docs, size = [], 0
             if docs:
-                yield pd.DataFrame(_shard_matches(docs, tests.value, min_run), columns=names)
+                for rows in _shard_matches(docs, tests.value, min_run):
+                    yield pd.DataFrame(rows, columns=names)
 
         part = documents.select("doc_id", "text").mapInPandas(search, MATCHES)
         out = part if out is None else out.unionByName(part)

@@ -40,6 +40,9 @@ def frames(spark):
 CALLS = {
     "frequency": lambda f: frequency.found(f["freq"]),
     "neardup": lambda f: neardup.found(f["sections"]),
+    "neardup groups": lambda f: neardup.section_groups(f["sections"]),
+    "paragraphs": lambda f: scannoise.paragraphs(f["lines"], f["sections"], f["images"]),
+    "segments": lambda f: language.section_segments(f["sections"], f["canon"]),
     "scannoise": lambda f: scannoise.found(f["lines"], f["sections"], f["images"]),
     "language": lambda f: language.found(f["sections"], f["canon"]),
     "lookalikes": lambda f: lookalikes.found(f["lines"], f["sections"]),

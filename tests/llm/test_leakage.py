@@ -49,3 +49,13 @@ def test_equals_brute_force(spark):
     assert (best.longest, best.doc_word, best.item_word, best.covered) == (best.item_words, 0, 0, best.item_words)
     assert Q.found(df, it.limit(0)).count() == 0 and Q.found(df.limit(0), it).count() == 0
     assert Q.without_leaks(df, it, 4).where("doc_id = 202").count() == 0
+
+
+def test_items_in_parts_give_the_same():
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(6)]
+    tests = Q.Tests([(n, " ".join(rng.choices(vocabulary, k=rng.randrange(3, 20)))) for n in range(15)], 3)
+    docs = [(d, np.array([tests.vocabulary.get(w, 0) for w in rng.choices(vocabulary, k=25)], np.int32)) for d in range(10)]
+    whole = sorted(r for part in Q._shard_matches(docs, tests, 3) for r in part)
+    parts = list(Q._shard_matches(docs, tests, 3, at_once=1))
+    assert whole and len(parts) > 5 and sorted(r for part in parts for r in part) == whole
