@@ -309,8 +309,9 @@ def _joint(before: str, after: str | None, known: Vocabulary) -> str | None:
     return "-" if all(met) else ""
 
 
-def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
-    """Rows of the lines of one page in order: (uid, doc, page, text, heading, scanned)."""
+def _page_rows(lines: list[tuple], known: Vocabulary, words: bool = True) -> Iterator[tuple]:
+    """Rows of the lines of one page in order: (uid, doc, page, text, heading, scanned); without ``words`` those of running lines
+    and page numbers alone."""
     last = len(lines) - 1
     edges = {*range(EDGE), *range(last - EDGE + 1, last + 1)}
     cut_from: tuple[int, str, str] | None = None
@@ -323,6 +324,8 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
         key = line_key(text) if not heading else ""
         if key:
             yield "line", uid, "edge" if i in edges else "inner", doc, page, key
+        if not words:
+            continue
         key = key if i in edges else ""
         tokens = _whole(text)
         if cut_from is not None:
@@ -339,6 +342,8 @@ def _page_rows(lines: list[tuple], known: Vocabulary) -> Iterator[tuple]:
             cut_from = uid, text.split()[-1][:-1], text.split()[-1]
         if scanned and not heading and any(known.misread(t) for t in tokens):
             yield "line", uid, "misread", doc, page, key or None
+    if not words:
+        return
     if cut_from is not None:
         yield "line", cut_from[0], "open", doc, page, cut_from[2]
     # What the page begins with, for words cut at the end of the page before; a running header comes first.
@@ -378,8 +383,8 @@ def _kinds(kind: str, lines: list[str], first: int | None, final: int | None) ->
     return kinds, keys
 
 
-def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: int | None, final: int | None, text: str, known: Vocabulary) -> Iterator[tuple]:
-    """Rows of a section's or an image's text."""
+def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: int | None, final: int | None, text: str, known: Vocabulary, words: bool = True) -> Iterator[tuple]:
+    """Rows of a section's or an image's text; without ``words`` those of running lines and page numbers alone."""
     lines = [x.strip() for x in consistent(text).split("\n")]
     kinds, keys = _kinds(kind, lines, first, final)
     last = len(lines) - 1
@@ -390,6 +395,8 @@ def _text_rows(kind: str, uid: int, doc: str | None, page: int | None, first: in
         if key:
             at_edge = kind == "image" and (i < EDGE or i > last - EDGE)
             yield kind, uid, "edge" if at_edge else "short", doc, page, key
+    if not words:
+        return
     cut_word = False
     for i, line in enumerate(lines):
         if CUT.search(line) and kinds[i] != "number":
@@ -470,16 +477,17 @@ def _given(x: float | None) -> int | None:
     return None if x is None or x != x else int(x)
 
 
-def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, book: Book) -> DataFrame:
-    """Everything one reading of the three tables finds (``ROWS``), before what is known only of whole PDFs."""
+def noise_rows(text_lines: DataFrame, sections: DataFrame, images: DataFrame, book: Book, words: bool = True) -> DataFrame:
+    """Everything one reading of the three tables finds (``ROWS``), before what is known only of whole PDFs; without ``words``
+    running lines and page numbers alone."""
 
     def page(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
-        return _page_rows([(*r[:3], *r[4:]) for r in unit], known)
+        return _page_rows([(*r[:3], *r[4:]) for r in unit], known, words)
 
     def block(kind: str) -> Callable:
         def work(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
             uid, doc, page, first, final, text = unit[0]
-            return _text_rows(kind, uid, doc, _given(page), _given(first), _given(final), text, known)
+            return _text_rows(kind, uid, doc, _given(page), _given(first), _given(final), text, known, words)
 
         return work
 
@@ -681,7 +689,7 @@ def paragraphs(text_lines: DataFrame, sections: DataFrame, images: DataFrame, pa
     id or lines without document or page; of rows repeating an id one counts. A word cut at a page's end is moved to that page.
     """
     book = vocabulary(text_lines, sections, images, most_words)
-    rows = cut(noise_rows(text_lines, sections, images, book))
+    rows = cut(noise_rows(text_lines, sections, images, book, words=False))
     headers = cut(_headers(rows, _heads(rows, pages)))
 
     def of_page_lines(unit: list[tuple], known: Vocabulary) -> Iterator[tuple]:
