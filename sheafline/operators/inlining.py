@@ -231,14 +231,14 @@ def shred(
     return df.select(key.cast("string").alias("k"), F.col(payload).alias("p")).mapInPandas(walk, NODE_SCHEMA)
 
 
-def rejected(df: DataFrame, key: str, payload: str) -> DataFrame:
+def rejected(df: DataFrame, key: str, payload: str, every: bool = False) -> DataFrame:
     """key, reason of every row whose payload gives no nodes: empty, not JSON, no object, or nested too deep (some thousands of
-    levels, which would also make every node's lineage that long)."""
+    levels, which would also make every node's lineage that long). With ``every`` all rows, those that are read with null."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             why = [_read(p)[1] for p in batch["_p"]]
-            yield pd.DataFrame({key: batch[key], "reason": why}).loc[[w is not None for w in why]]
+            yield pd.DataFrame({key: batch[key], "reason": why}).loc[[every or w is not None for w in why]]
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, F.col(payload).alias("_p")).mapInPandas(check, f"{key} {kind}, reason STRING")
@@ -285,9 +285,10 @@ def raw_record_relations(records: DataFrame) -> DataFrame:
     )
 
 
-def raw_record_rejects(records: DataFrame) -> DataFrame:
-    """record_id, reason of the records whose latest payload can't be read."""
-    return rejected(latest_payloads(records, "record_id", "payload", "received_at"), "key", "payload").select(F.col("key").alias("record_id"), "reason")
+def raw_record_readings(records: DataFrame) -> DataFrame:
+    """record_id, reason of every record: why its latest payload can't be read, null where it can."""
+    latest = latest_payloads(records, "record_id", "payload", "received_at")
+    return rejected(latest, "key", "payload", every=True).select(F.col("key").alias("record_id"), "reason")
 
 
 def found(records: DataFrame) -> DataFrame:

@@ -41,11 +41,10 @@ UNION ALL
 SELECT record_id, parent_id, item_no::INT, unnest(range(len(rows)))::INT FROM q
 """
 
-QUERIES["p1_rejected"] = lambda spark, d: inlining.raw_record_rejects(table(spark, d, "raw_records"))
-SQL["p1_rejected"] = """
+QUERIES["p1_readings"] = lambda spark, d: inlining.raw_record_readings(table(spark, d, "raw_records"))
+SQL["p1_readings"] = """
 WITH l AS (SELECT record_id, arg_max(payload, received_at) AS p FROM raw_records GROUP BY record_id)
-SELECT record_id, CASE WHEN p IS NULL OR trim(p) = '' THEN 'empty' WHEN NOT json_valid(p) THEN 'not JSON' ELSE 'no object' END AS reason
-FROM l WHERE p IS NULL OR NOT json_valid(p) OR json_type(p) NOT IN ('OBJECT', 'ARRAY')
+SELECT record_id, CASE WHEN p IS NULL OR trim(p) = '' THEN 'empty' WHEN NOT json_valid(p) THEN 'not JSON' WHEN json_type(p) NOT IN ('OBJECT', 'ARRAY') THEN 'no object' END AS reason FROM l
 """
 
 QUERIES["p1_relations"] = lambda spark, d: inlining.raw_record_relations(table(spark, d, "raw_records"))
