@@ -31,7 +31,7 @@ def title_hints(sections: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return each.where(count > 0).select(
         "doc_id", "f.target_field", confidence.alias("confidence"), F.lit("section_title_similarity").alias("hint_type"), F.col("page_start").alias("page"), "section_id",
         F.col("raw_title").alias("source_text"), X.snippet(F.col("text_plain")).alias("supporting_text"), hits("raw_form").alias("matched_terms"),
-        F.struct(F.lit(1).alias("group"), F.col("section_no").alias("a"), F.col("f.no").alias("b")).alias("seq"),
+        F.struct(F.lit(1).alias("group"), F.col("section_no").cast("bigint").alias("a"), F.col("f.no").alias("b")).alias("seq"),
     )
 
 
@@ -51,7 +51,7 @@ def value_hints(sections: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return each.select(
         "doc_id", "f.target_field", "f.confidence", F.lit("pattern_match").alias("hint_type"), F.col("page_start").alias("page"), "section_id",
         F.concat("f.v.label", "f.sep", "f.v.value").alias("source_text"), X.snippet(F.col("f.v.value")).alias("supporting_text"),
-        F.array(X.match_form(F.col("f.v.label"))).alias("matched_terms"), F.struct(F.lit(1).alias("group"), F.col("section_no").alias("a"), F.col("f.no").alias("b")).alias("seq"),
+        F.array(X.match_form(F.col("f.v.label"))).alias("matched_terms"), F.struct(F.lit(1).alias("group"), F.col("section_no").cast("bigint").alias("a"), F.col("f.no").alias("b")).alias("seq"),
     )
 
 
@@ -65,7 +65,7 @@ def column_hints(tables: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return each.where(F.size(hits) > 0).select(
         "doc_id", "f.target_field", F.lit(0.84).alias("confidence"), F.lit("table_header_similarity").alias("hint_type"), (F.col("page") + 1).alias("page"),
         F.lit(None).cast("string").alias("section_id"), F.col("name").alias("source_text"), X.snippet(F.col("preview")).alias("supporting_text"), hits.alias("matched_terms"),
-        F.struct(F.lit(2).alias("group"), F.col("table_uid").cast("int").alias("a"), (F.col("pos") * 10 + F.col("f.no")).cast("int").alias("b")).alias("seq"),
+        F.struct(F.lit(2).alias("group"), F.col("table_uid").cast("bigint").alias("a"), (F.col("pos") * 10 + F.col("f.no")).cast("int").alias("b")).alias("seq"),
     )
 
 
@@ -78,7 +78,7 @@ def name_hints(documents: DataFrame, headers: DataFrame | None = None, config: C
     row = lambda text, confidence, kind, page, term: [
         "doc_id", F.lit("product_name").alias("target_field"), F.lit(confidence).alias("confidence"), F.lit(kind).alias("hint_type"), page.cast("int").alias("page"),
         none.alias("section_id"), text.alias("source_text"), none.alias("supporting_text"), F.array(F.lit(term)).alias("matched_terms"),
-        F.struct(F.lit(0).alias("group"), F.lit(0).alias("a"), F.lit(0).alias("b")).alias("seq"),
+        F.struct(F.lit(0).alias("group"), F.lit(0).cast("bigint").alias("a"), F.lit(0).alias("b")).alias("seq"),
     ]
     named = documents.where(good).select(*row(title, 0.93, "document_metadata", F.lit(1), "title_metadata"))
     if headers is None:

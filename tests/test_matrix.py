@@ -41,6 +41,14 @@ def test_hints_rank(spark):
     assert hints.ranked(hints.title_hints(sections(spark).limit(0))).count() == 0
 
 
+def test_hints_of_tables_with_large_ids(spark):
+    rows = [(10**13, "d", 0, ["Limpieza"], [["x"]]), (7, "d", 0, ["Cleaning"], [["y"]])]
+    tables = spark.createDataFrame(rows, "table_uid bigint, doc_id string, page int, columns array<string>, rows array<array<string>>")
+    h = hints.ranked(hints.column_hints(tables).unionByName(hints.title_hints(sections(spark))))
+    named = [r.source_text for r in h.orderBy("target_field", "rank").collect() if r.target_field == "maintenance" and r.hint_type == "table_header_similarity"]
+    assert named == ["Cleaning", "Limpieza"]
+
+
 def test_stale_rows(spark):
     w = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     c = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
